@@ -81,17 +81,6 @@ IRIS_COUNTS = ("m_49_74", "m_75_89", "m_90_04", "a_49_74", "a_75_89", "a_90_04",
                "a_a1946", "m_46_49", "a_46_49", "m_05_08", "a_05_08", "m_09_11", "a_09_11")
 
 
-def with_tables(*names: str, then: str) -> str:
-    """SQL of a check that uses the named city tables."""
-    needed = {"f_iris": ["f_communes"], "f_roads": ["f_communes"], "f_usr": [], "f_communes": []}
-    order = ["f_buildings", "f_communes", "f_usr", "f_iris", "f_roads"]
-    wanted = {"f_buildings", *names, *(n for name in names for n in needed.get(name, []))}
-    text = {"f_buildings": BUILDINGS_SQL, "f_communes": COMMUNES_SQL, "f_usr": USR_SQL,
-            "f_iris": IRIS_SQL, "f_roads": ROADS_SQL}
-    ctes = ",\n".join(f"{n} AS ({text[n]})" for n in order if n in wanted).replace("{part}", "part")
-    return f"WITH RECURSIVE {ctes}{',' if then.lstrip()[:1] == ',' else ''}\n{then.lstrip().lstrip(',')}"
-
-
 def buildings_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(BUILDINGS_SQL, part=spark.read.parquet(f"{sf_dir}/part.parquet"))
 

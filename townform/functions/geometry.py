@@ -196,17 +196,27 @@ def holes(geom: Column) -> Column:
 
 def normalize(geom: Column) -> Column:
     """Clockwise shells, counter-clockwise holes, each starting at its least vertex."""
-    def tidy(r):
-        counter_clockwise = signed_ring_area(r["pts"]) > 0
-        pts = F.when(counter_clockwise == r["hole"], r["pts"]).otherwise(F.reverse(r["pts"]))
-        n = F.size(pts) - 1
-        opened = F.slice(pts, 1, n)
-        at = F.array_position(opened, F.array_min(opened)).cast("int")
-        head = F.slice(opened, at, n - at + 1)
-        turned = F.concat(head, F.slice(opened, 1, at - 1), F.slice(head, 1, 1))
-        return F.struct(r["part"].alias("part"), r["hole"].alias("hole"), turned.alias("pts"))
-
-    return _with_rings(geom, F.transform(geom["rings"], tidy))
+    def shape(r, pts, *more):
+        return F.struct(r["part"].alias("part"), r["hole"].alias("hole"), pts.alias("pts"), *more)
+
+    def orient(r):
+        right_way = (signed_ring_area(r["pts"]) > 0) == r["hole"]
+        return shape(r, F.when(right_way, r["pts"]).otherwise(F.reverse(r["pts"])))
+
+    def locate(r):
+        least = F.array_position(r["pts"], F.array_min(r["pts"])).cast("int")
+        return shape(r, r["pts"], least.alias("at"))
+
+    def rotate(r):
+        pts, at = r["pts"], r["at"]
+        return shape(r, F.when(at == 1, pts).otherwise(
+            F.concat(F.slice(pts, at, F.size(pts) - at), F.slice(pts, F.lit(1), at))))
+
+    # one transform per step: a lambda variable is evaluated once, an expression at each use
+    rings = geom["rings"]
+    for step in (orient, locate, rotate):
+        rings = F.transform(rings, step)
+    return _with_rings(geom, rings)
 
 
 def segments(geom: Column) -> Column:

@@ -222,39 +222,85 @@ def covered_walls(seg_a, off_a, seg_b, off_b, tol, contacts=False):
 
 # --- areas of overlaid shapes -----------------------------------------------------
 
-def overlay_area(x1, y1, x2, y2, layer, layers):
-    """Area lying inside every layer. A layer is a set of closed outlines, interior to the
-    right; shapes of one layer are united.
-
-    The plane is cut into vertical slabs at all vertices and crossings. Inside a slab edges
-    are straight and do not cross, so heights at its middle are exact.
+def crossings(edge, offs):
+    """Shape and x of every point where two edges of one shape cross."""
+    counts = np.diff(offs)
+    for g, i, j in combinations(counts, counts):
+        pick = i < j
+        g, i, j = g[pick], offs[g[pick]] + i[pick], offs[g[pick]] + j[pick]
+        dxi, dyi = edge[2, i] - edge[0, i], edge[3, i] - edge[1, i]
+        dxj, dyj = edge[2, j] - edge[0, j], edge[3, j] - edge[1, j]
+        bend = dxi * dyj - dyi * dxj
+        safe = np.where(bend != 0, bend, 1.0)
+        ox, oy = edge[0, j] - edge[0, i], edge[1, j] - edge[1, i]
+        t, u = (ox * dyj - oy * dxj) / safe, (ox * dyi - oy * dxi) / safe
+        hit = (bend != 0) & (t > 0) & (t < 1) & (u > 0) & (u < 1)
+        yield g[hit], (edge[0, i] + t * dxi)[hit]
+
+
+def overlay_areas(edge, layer, offs, layers):
+    """For each shape the area lying inside all its layers.
+
+    A layer is a set of closed outlines, interior to the right; outlines of one layer are
+    united. The plane is cut into vertical slabs at all vertices and crossings. Inside a slab
+    edges are straight and do not cross, so heights at its middle are exact.
     """
-    i, j = np.triu_indices(len(x1), 1)
-    dxi, dyi, dxj, dyj = x2[i] - x1[i], y2[i] - y1[i], x2[j] - x1[j], y2[j] - y1[j]
-    bend = dxi * dyj - dyi * dxj
-    safe = np.where(bend != 0, bend, 1.0)
-    ox, oy = x1[j] - x1[i], y1[j] - y1[i]
-    t = (ox * dyj - oy * dxj) / safe
-    u = (ox * dyi - oy * dxi) / safe
-    hit = (bend != 0) & (t > 0) & (t < 1) & (u > 0) & (u < 1)
-    cuts = np.unique(np.concatenate([x1, x2, (x1[i] + t * dxi)[hit]]))
-    width = np.diff(cuts)
-    keep = width > 1e-12
-    mid, width = ((cuts[:-1] + cuts[1:]) / 2)[keep][:, None], width[keep]
-    run = np.where(x2 != x1, x2 - x1, 1.0)
-    spans = (np.minimum(x1, x2) < mid) & (mid < np.maximum(x1, x2))
-    y = np.where(spans, y1 + (mid - x1) / run * (y2 - y1), np.inf)
-    order = np.argsort(y, axis=1, kind="stable")
-    y = np.take_along_axis(y, order, axis=1)
-    enter = np.where(spans, -np.sign(x2 - x1), 0.0)
-    within = np.ones(y.shape, dtype=bool)
-    for k in range(layers):
-        depth = np.cumsum(np.take_along_axis(np.where(layer == k, enter, 0.0), order, axis=1), axis=1)
-        within &= depth > 0.5
-    with np.errstate(invalid="ignore"):
-        height = np.diff(y, axis=1)
-    height = np.where(np.isfinite(height) & within[:, :-1], height, 0.0)
-    return float((width * height.sum(axis=1)).sum())
+    n = len(offs) - 1
+    shape = np.repeat(np.arange(n), np.diff(offs))
+    found = list(crossings(edge, offs))
+    cut_shape = np.concatenate([shape, shape] + [g for g, _ in found])
+    cut = np.concatenate([edge[0], edge[2]] + [x for _, x in found])
+    order = np.lexsort((cut, cut_shape))
+    cut_shape, cut = cut_shape[order], cut[order]
+    width = np.diff(cut)
+    slab = np.flatnonzero((cut_shape[1:] == cut_shape[:-1]) & (width > 1e-12))
+    of, mid, width = cut_shape[slab], (cut[slab] + cut[slab + 1]) / 2, width[slab]
+    area = np.zeros(n)
+    for s, _, e in combinations(np.ones(len(of), dtype=np.int64), np.diff(offs)[of]):
+        e = offs[of[s]] + e
+        x1, y1, x2, y2 = edge[:, e]
+        spans = (np.minimum(x1, x2) < mid[s]) & (mid[s] < np.maximum(x1, x2))
+        s, e, x1, y1, x2, y2 = s[spans], e[spans], x1[spans], y1[spans], x2[spans], y2[spans]
+        if not len(s):
+            continue
+        y = y1 + (mid[s] - x1) / (x2 - x1) * (y2 - y1)
+        order = np.lexsort((y, s))
+        s, e, y, enter = s[order], e[order], y[order], -np.sign(x2 - x1)[order]
+        within = np.ones(len(s), dtype=bool)
+        for k in range(layers):
+            # outlines close, so the running depth is back at 0 where a slab ends
+            within &= np.cumsum(np.where(layer[e] == k, enter, 0.0)) > 0.5
+        inner = np.flatnonzero(within[:-1] & (s[1:] == s[:-1]))
+        area += np.bincount(of[s[inner]], (y[inner + 1] - y[inner]) * width[s[inner]], n)
+    return area
+
+
+def joined(parts, offsets):
+    """Concatenate ragged (4, n) arrays shape by shape; also the part number of each column."""
+    counts = np.stack([np.diff(o) for o in offsets])
+    offs = starts(counts.sum(axis=0))
+    out, layer = np.empty((4, offs[-1])), np.empty(offs[-1], dtype=np.int64)
+    at = offs[:-1].copy()
+    for k, (part, o) in enumerate(zip(parts, offsets)):
+        shape, rank = spread(counts[k])
+        place = at[shape] + rank
+        out[:, place], layer[place] = part[:, :o[-1]], k
+        at += counts[k]
+    return out, layer, offs
+
+
+def centred(seg, offs, origin):
+    """Coordinates relative to one point per shape: large ones lose digits in products."""
+    shape = np.repeat(np.arange(len(offs) - 1), np.diff(offs))
+    return seg - np.tile(origin[:, shape], (2, 1))
+
+
+def first_points(seg, offs):
+    """First vertex of each shape, 0 for an empty one."""
+    out = np.zeros((2, len(offs) - 1))
+    some = np.diff(offs) > 0
+    out[:, some] = seg[:2, offs[:-1][some]]
+    return out
 
 
 def free_pieces(walls, wall, t0, t1):
@@ -277,28 +323,29 @@ def along(seg, wall, t0, t1):
                      seg[0, wall] + t1 * dx, seg[1, wall] + t1 * dy])
 
 
-def lit_area(seg, wall, t0, t1, depth):
-    """Area of a footprint within ``depth`` of its free walls, seen square from the wall."""
-    seg = seg - np.tile(seg[:2, :1], (2, 1))
-    x1, y1, x2, y2 = along(seg, *free_pieces(seg.shape[1], wall, t0, t1))
+def lit_areas(seg, offs, wall, t0, t1, depth):
+    """Area of each footprint within ``depth`` of its free walls, seen square from the wall.
+    ``wall`` numbers walls over all footprints."""
+    seg = centred(seg, offs, first_points(seg, offs))
+    owner = np.repeat(np.arange(len(offs) - 1), np.diff(offs))
+    on, a, b = free_pieces(seg.shape[1], wall, t0, t1)
+    x1, y1, x2, y2 = along(seg, on, a, b)
     size = np.hypot(x2 - x1, y2 - y1)
     real = size > 0
-    if not real.any():
-        return 0.0
-    x1, y1, x2, y2, size = x1[real], y1[real], x2[real], y2[real], size[real]
+    on, x1, y1, x2, y2, size = on[real], x1[real], y1[real], x2[real], y2[real], size[real]
     nx, ny = (y2 - y1) / size * depth, -(x2 - x1) / size * depth
-    corners = np.stack([[x1, y1], [x2, y2], [x2 + nx, y2 + ny], [x1 + nx, y1 + ny]])
-    after = np.roll(corners, -1, axis=0)
-    ends = [np.concatenate([seg[k], corners[:, k].ravel()]) for k in (0, 1)]
-    ends += [np.concatenate([seg[2 + k], after[:, k].ravel()]) for k in (0, 1)]
-    layer = np.repeat([0, 1], [seg.shape[1], 4 * len(x1)])
-    return overlay_area(*ends, layer, 2)
-
-
-def common_area(seg_a, seg_b):
-    """Area shared by two polygons."""
-    both = np.concatenate([seg_a, seg_b], axis=1) - np.tile(seg_a[:2, :1], (2, 1))
-    return overlay_area(*both, np.repeat([0, 1], [seg_a.shape[1], seg_b.shape[1]]), 2)
+    strips = np.stack([
+        np.stack([x1, y1, x2, y2]), np.stack([x2, y2, x2 + nx, y2 + ny]),
+        np.stack([x2 + nx, y2 + ny, x1 + nx, y1 + ny]), np.stack([x1 + nx, y1 + ny, x1, y1])], axis=2)
+    per_shape = 4 * np.bincount(owner[on], minlength=len(offs) - 1)
+    return overlay_areas(*joined([seg, strips.reshape(4, -1)], [offs, starts(per_shape)]), 2)
+
+
+def common_areas(seg_a, off_a, seg_b, off_b):
+    """Area shared by polygon k of a and polygon k of b."""
+    origin = first_points(seg_a, off_a)
+    return overlay_areas(*joined([centred(seg_a, off_a, origin), centred(seg_b, off_b, origin)],
+                                 [off_a, off_b]), 2)
 
 
 # --- outlines of blocks -----------------------------------------------------------

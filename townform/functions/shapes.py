@@ -6,12 +6,13 @@ import sys
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from townform.functions.kernels import (
-    common_area, convex_hull, covered_walls, hull_measures, list_sizes, lit_area, next_segments,
+    common_areas, convex_hull, covered_walls, hull_measures, list_sizes, lit_areas, next_segments,
     outline_chains, polygon_gaps, segments, starts)
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -94,10 +95,8 @@ def lit_floor_area(geom: Column, spans: Column, depth: float) -> Column:
         seg, offs = segments(rings)
         span = spans.flatten()
         wall, t0, t1 = (span.field(n).to_numpy(zero_copy_only=False) for n in ("wall", "t0", "t1"))
-        at = starts(list_sizes(spans))
-        return pa.array([
-            lit_area(seg[:, offs[k]:offs[k + 1]], wall[at[k]:at[k + 1]], t0[at[k]:at[k + 1]],
-                     t1[at[k]:at[k + 1]], depth) for k in range(len(rings))], pa.float64())
+        wall = wall + np.repeat(offs[:-1], list_sizes(spans))
+        return pa.array(lit_areas(seg, offs, wall, t0, t1, depth), pa.float64())
 
     return measure(geom["rings"], spans)
 
@@ -133,9 +132,8 @@ def overlap_area(a: Column, b: Column) -> Column:
     def measure(rings_a: pa.Array, rings_b: pa.Array) -> pa.Array:
         seg_a, off_a = segments(rings_a)
         seg_b, off_b = segments(rings_b)
-        return pa.array([
-            common_area(seg_a[:, off_a[k]:off_a[k + 1]], seg_b[:, off_b[k]:off_b[k + 1]])
-            if rings_a[k].is_valid and rings_b[k].is_valid else None
-            for k in range(len(rings_a))], pa.float64())
+        area = common_areas(seg_a, off_a, seg_b, off_b)
+        unknown = pc.or_(rings_a.is_null(), rings_b.is_null()).to_numpy(zero_copy_only=False)
+        return pa.array(area, pa.float64(), mask=unknown)
 
     return measure(a["rings"], b["rings"])

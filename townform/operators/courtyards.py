@@ -21,6 +21,7 @@ from townform.operators.components import components
 from townform.operators.grid import grid_join
 from townform.operators.neighbours import SPAN, both_ways
 from townform.params import Params
+from townform.session import cut_lineage
 
 BLOCK = ["id_zone", "pk_usr", "pk_block"]
 CHAINS_PER_BUILDING = 1 << 24
@@ -87,9 +88,8 @@ def chain_links(open_chains: DataFrame, p: Params = Params()) -> DataFrame:
 def block_rings(buildings: DataFrame, members: DataFrame, pairs: DataFrame,
                 p: Params = Params()) -> DataFrame:
     """Rings of the outlines of blocks: signed area (holes positive), length, corner terms."""
-    rows = free_chains(buildings, members, pairs)
-    opened = rows.where(~F.col("closed"))
-    links = chain_links(opened, p)
+    rows = cut_lineage(free_chains(buildings, members, pairs))
+    links = cut_lineage(chain_links(rows.where(~F.col("closed")), p))
     keys = links.withColumn("pk_usr", F.coalesce("pk_usr", F.lit(-1)))
     ring = (components(keys, ["id_zone", "pk_usr", "pk_block"], "chain_id", "next_id")
             .select("id_zone", F.col("node").alias("chain_id"), F.col("root").alias("ring_id")))

@@ -1,8 +1,9 @@
 """Distances from every building to all others of its urban unit.
 
 The statistics need every pair, but pairs never become rows. A unit is cut into tiles of
-bounded size; each pair of tiles is one Arrow group that returns, per building, count, sum,
-sum of squares, least and greatest distance. A unit of any size becomes many small tasks.
+bounded size; each pair of tiles is one row of outlines, from which an Arrow kernel returns,
+per building, count, sum, sum of squares, least and greatest distance. A unit of any size
+becomes many small rows, spread over tasks by their tile numbers.
 """
 
 from __future__ import annotations
@@ -12,17 +13,18 @@ import sys
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from townform.functions.kernels import polygon_gaps, segments
+from townform.functions.kernels import list_sizes, polygon_gaps, segments, spread, starts
 from townform.functions.scalar import or_zero
 from townform.params import Params
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-PARTIAL = ("id_zone int, pk int, n long, total double, squares double, "
-           "least double, greatest double")
+PARTIAL = ("array<struct<pk: int, n: bigint, total: double, squares: double, least: double, "
+           "greatest: double>>")
+PAIRS = 1 << 20  # building pairs held in memory at once
 
 
 def _tiles(buildings: DataFrame, p: Params) -> DataFrame:
@@ -40,33 +42,65 @@ def _tiles(buildings: DataFrame, p: Params) -> DataFrame:
                     F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi")))
 
 
-def _partials(group: pa.Table) -> pa.Table:
-    group = group.combine_chunks()
-    seg, offs = segments(group["rings"].chunk(0))
-    tile, lo, hi = (group[c].to_numpy() for c in ("tile", "lo", "hi"))
+def tile_pairs(size, tile):
+    """Pairs of members to be measured: across both tiles, or each once within a single one.
+
+    ``size`` counts the members of each tile pair, ``tile`` is 0 for the lower and 1 for the
+    upper tile, -1 where both are the same.
+    """
+    base = starts(size)
+    group, rank = spread(size)
+    members, other = spread(size[group])
+    i, j = members, base[group[members]] + other
+    keep = np.where(tile[i] < 0, i < j, tile[i] < tile[j])
+    return i[keep], j[keep]
+
+
+def pair_statistics(seg, offs, size, tile):
+    """Partial statistics of every member, over the pairs of its row."""
     n = len(tile)
-    if lo[0] == hi[0]:
-        i, j = np.triu_indices(n, 1)
-    else:
-        low, high = np.flatnonzero(tile == lo), np.flatnonzero(tile == hi)
-        i, j = np.repeat(low, len(high)), np.tile(high, len(low))
-    dist, _ = polygon_gaps(seg, offs, i, seg, offs, j)
-    ends, both = np.concatenate([i, j]), np.concatenate([dist, dist])
+    count, total, squares = np.zeros(n, dtype=np.int64), np.zeros(n), np.zeros(n)
     least, greatest = np.full(n, np.inf), np.full(n, -np.inf)
-    np.minimum.at(least, ends, both)
-    np.maximum.at(greatest, ends, both)
-    count = np.bincount(ends, minlength=n)
-    out = pa.table({
-        "id_zone": group["id_zone"], "pk": group["pk"], "n": pa.array(count, pa.int64()),
-        "total": np.bincount(ends, both, n), "squares": np.bincount(ends, both * both, n),
-        "least": least, "greatest": greatest})
-    return out.filter(pa.array(count > 0))
+    load = np.cumsum(size * size) // PAIRS
+    for rows in np.split(np.arange(len(size)), np.flatnonzero(np.diff(load)) + 1):
+        if not len(rows):
+            continue
+        first = int(size[:rows[0]].sum())
+        i, j = tile_pairs(size[rows], tile[first:first + int(size[rows].sum())])
+        i, j = i + first, j + first
+        dist, _ = polygon_gaps(seg, offs, i, seg, offs, j)
+        for ends in (i, j):
+            count += np.bincount(ends, minlength=n)
+            total += np.bincount(ends, dist, n)
+            squares += np.bincount(ends, dist * dist, n)
+            np.minimum.at(least, ends, dist)
+            np.maximum.at(greatest, ends, dist)
+    return count, total, squares, least, greatest
+
+
+def _partials(members: Column) -> Column:
+    @F.arrow_udf(PARTIAL)
+    def measure(members: pa.Array) -> pa.Array:
+        size = list_sizes(members)
+        member = members.flatten()
+        seg, offs = segments(member.field("rings"))
+        tile = member.field("tile").to_numpy(zero_copy_only=False)
+        values = pair_statistics(seg, offs, size, tile)
+        rows = pa.StructArray.from_arrays(
+            [member.field("pk"), *[pa.array(v) for v in values]],
+            ["pk", "n", "total", "squares", "least", "greatest"])
+        return pa.ListArray.from_arrays(pa.array(starts(size).astype(np.int32)), rows)
+
+    return measure(members)
 
 
 def building_distances(buildings: DataFrame, p: Params = Params()) -> DataFrame:
     """min_dist, mean_dist, max_dist, std_dist of buildings that share their unit."""
-    partial = (_tiles(buildings, p).groupBy("id_zone", "pk_usr", "lo", "hi")
-               .applyInArrow(_partials, PARTIAL))
+    side = F.when(F.col("lo") == F.col("hi"), F.lit(-1)).when(F.col("tile") == F.col("lo"), F.lit(0)).otherwise(F.lit(1))
+    rows = (_tiles(buildings, p).groupBy("id_zone", "pk_usr", "lo", "hi")
+            .agg(F.collect_list(F.struct("pk", side.alias("tile"), "rings")).alias("members")))
+    partial = (rows.select("id_zone", _partials(F.col("members")).alias("parts"))
+               .select("id_zone", F.inline("parts")).where("n > 0"))
     n, total, squares = F.sum("n"), F.sum("total"), F.sum("squares")
     spread = F.greatest(squares / n - (total / n) * (total / n), F.lit(0.0))
     return partial.groupBy("id_zone", "pk").agg(

@@ -56,7 +56,8 @@ def compute(inputs: Inputs, codes: I.Codes = None, p: Params = Params(),
     ``keep`` is applied to the tables read more than once: prepared buildings, close pairs and
     building indicators. Pass ``session.cut_lineage`` to write them to the shared folder.
     """
-    buildings = keep(I.prepare_buildings(inputs.bati, inputs.zones, codes, p))
+    # partitioned once by the key of all later joins
+    buildings = keep(I.prepare_buildings(inputs.bati, inputs.zones, codes, p).repartition("id_zone", "pk"))
     catalogue = I.in_codes(I.scan_communes(inputs.zones), "code_insee", codes)
     ready = I.processable_communes(catalogue, buildings)
     usr = I.prepare_usr(inputs.usr, codes).join(ready.select("id_zone"), "id_zone", "left_semi")
