@@ -98,8 +98,11 @@ def prepare_buildings(bati: DataFrame, zones: DataFrame, codes: Codes = None, p:
         rows = rows.where(F.col("idilot").isNotNull())
     rows = rows.join(known.select("idzone"), "idzone")
     hull_of = F.col("hull")
+    # the generator keeps the lambda functions of normalize out of the kernels' arguments,
+    # where the optimizer would inline them but cannot evaluate them
+    plain = [c for c in rows.columns if c != "the_geom"]
     return (rows
-            .withColumn("the_geom", G.normalize(geom))
+            .select(*plain, F.explode(F.array(G.normalize(geom))).alias("the_geom"))
             .withColumn("hull", hull(F.col("the_geom")))
             .select(
                 "the_geom",
