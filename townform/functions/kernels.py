@@ -403,39 +403,85 @@ def outline_chains(seg, after, wall, t0, t1):
 
 # --- convex hulls -----------------------------------------------------------------
 
-def convex_hull(points):
-    """Counter-clockwise hull of (x, y) tuples."""
-    points = sorted(set(points))
-    if len(points) < 3:
-        return points
-    chain = []
-    for ordered in (points, points[::-1]):
-        half = []
-        for p in ordered:
-            while len(half) > 1 and turn(*half[-2], *half[-1], *p) <= 0:
-                half.pop()
-            half.append(p)
-        chain += half[:-1]
-    return chain
-
-
-def hull_measures(hull):
-    """Area, perimeter, least width and azimuth (degrees) of the side it rests on."""
-    if len(hull) < 3:
-        size = 2 * math.dist(hull[0], hull[-1]) if hull else 0.0
-        return 0.0, size, 0.0, None
-    h = np.array(hull)
-    h = h - h[0]
-    side = np.roll(h, -1, axis=0) - h
-    size = np.hypot(side[:, 0], side[:, 1])
-    x, y = h[:, 0], h[:, 1]
-    area = float((x * np.roll(y, -1) - np.roll(x, -1) * y).sum()) / 2
-    width = ((side[:, :1] * (y - y[:, None]) - side[:, 1:] * (x - x[:, None])) / size[:, None]).max(axis=1)
-    least = float(width.min())
-    azimuth = np.degrees(np.arctan2(side[:, 0], side[:, 1])) % 180.0
+def half_hulls(x, y, n):
+    """Chain of right-hand turns dropped, over rows of points in order: positions and sizes."""
+    rows = np.arange(len(n))
+    chain = np.zeros(x.shape, dtype=np.int64)
+    top = np.zeros(len(n), dtype=np.int64)
+    for i in range(x.shape[1]):
+        live = rows[i < n]
+        popping = live
+        while len(popping := popping[top[popping] > 1]):
+            p, q = chain[popping, top[popping] - 2], chain[popping, top[popping] - 1]
+            bent = turn(x[popping, p], y[popping, p], x[popping, q], y[popping, q],
+                        x[popping, i], y[popping, i]) <= 0
+            popping = popping[bent]
+            top[popping] -= 1
+        chain[live, top[live]] = i
+        top[live] += 1
+    return chain, top
+
+
+def convex_hulls(x, y, offs):
+    """Counter-clockwise hull of each group of points, as positions in x, y and offsets.
+
+    Groups of like size are handled together, one point of all groups at a time.
+    """
+    count = np.diff(offs)
+    group = np.repeat(np.arange(len(count)), count)
+    order = np.lexsort((y, x, group))
+    owners, found, ranks = [], [], []
+    size_class = np.frexp(np.maximum(count, 1))[1]
+    for c in np.unique(size_class[count > 0]):
+        rows = np.flatnonzero((size_class == c) & (count > 0))
+        n = count[rows]
+        rank = np.arange(n.max())
+        for back in (False, True):
+            place = np.where(rank < n[:, None], n[:, None] - 1 - rank if back else rank, 0)
+            at = order[offs[rows][:, None] + place]
+            chain, top = half_hulls(x[at], y[at], n)
+            r, k = spread(np.maximum(top - 1, 1 - back))  # the end point starts the other half
+            owners.append(rows[r])
+            found.append(at[r, chain[r, k]])
+            ranks.append(k + back * len(x))
+    if not owners:
+        return np.zeros(0, dtype=np.int64), starts(count)
+    owner, at, rank = np.concatenate(owners), np.concatenate(found), np.concatenate(ranks)
+    order = np.lexsort((rank, owner))
+    return at[order], starts(np.bincount(owner, minlength=len(count)))
+
+
+def hull_measures(x, y, offs):
+    """Area, perimeter, least width and azimuth (degrees) of the side it rests on, by group;
+    the azimuth of a group without extent is NaN."""
+    at, hull = convex_hulls(x, y, offs)
+    n = np.diff(hull)
+    owner, rank = spread(n)
+    first = at[hull[:-1][owner]]
+    hx, hy = x[at] - x[first], y[at] - y[first]
+    after = hull[:-1][owner] + (rank + 1) % n[owner]
+    dx, dy = hx[after] - hx, hy[after] - hy
+    size = np.hypot(dx, dy)
+    area = np.bincount(owner, hx * hy[after] - hx[after] * hy, len(n)) / 2
+    perimeter = np.bincount(owner, size, len(n))
+    width = np.zeros(len(at))
+    for side, _, j in combinations(np.ones(len(at), dtype=np.int64), n[owner]):
+        point = hull[:-1][owner[side]] + j
+        off = dx[side] * (hy[point] - hy[side]) - dy[side] * (hx[point] - hx[side])
+        runs = by_group(side)
+        width[side[runs]] = np.maximum(width[side[runs]], np.maximum.reduceat(off, runs))
+    real = size > 0
+    width = np.where(real, width / np.where(real, size, 1.0), np.inf)
+    least = np.full(len(n), np.inf)
+    np.minimum.at(least, owner, width)
+    azimuth = np.degrees(np.arctan2(dx, dy)) % 180.0
     azimuth[azimuth > 180.0 - 1e-9] = 0.0
     # a square rests on either side: the smallest azimuth wins
-    return area, float(size.sum()), least, float(azimuth[width <= least * (1 + 1e-9)].min())
+    ties = real & (width <= least[owner] * (1 + 1e-9)) & (n[owner] > 2)
+    rest = np.full(len(n), np.inf)
+    np.minimum.at(rest, owner[ties], azimuth[ties])
+    flat = ~np.isfinite(rest)
+    return area, perimeter, np.where(flat, 0.0, least), np.where(flat, np.nan, rest)
 
 
 # --- connected components of one partition -----------------------------------------

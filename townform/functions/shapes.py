@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from townform.functions.kernels import (
-    common_areas, convex_hull, covered_walls, hull_measures, list_sizes, lit_areas, next_segments,
+    common_areas, covered_walls, hull_measures, list_sizes, lit_areas, next_segments,
     outline_chains, polygon_gaps, segments, starts)
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -28,19 +28,15 @@ CHAINS = ("array<struct<closed: boolean, sx: double, sy: double, sdx: double, sd
 
 
 def _struct(columns: dict) -> pa.Array:
-    return pa.StructArray.from_arrays([pa.array(v, pa.float64()) for v in columns.values()],
+    return pa.StructArray.from_arrays([pa.array(v, pa.float64()) if isinstance(v, np.ndarray) else v
+                                       for v in columns.values()],
                                       list(columns))
 
 
-def hulls_of(point_lists) -> pa.Array:
-    rows = [hull_measures(convex_hull(points)) for points in point_lists]
-    names = ("area", "perimeter", "width", "azimuth")
-    return _struct({n: [r[k] for r in rows] for k, n in enumerate(names)})
-
-
-def vertex_lists(seg, offs):
-    xy = list(zip(seg[0].tolist(), seg[1].tolist()))
-    return [xy[a:b] for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())]
+def hulls_of(x, y, offs) -> pa.Array:
+    area, perimeter, width, azimuth = hull_measures(x, y, offs)
+    return _struct({"area": area, "perimeter": perimeter, "width": width,
+                    "azimuth": pa.array(azimuth, pa.float64(), mask=np.isnan(azimuth))})
 
 
 def hull(geom: Column) -> Column:
@@ -48,7 +44,8 @@ def hull(geom: Column) -> Column:
 
     @F.arrow_udf(HULL)
     def measure(rings: pa.Array) -> pa.Array:
-        return hulls_of(vertex_lists(*segments(rings)))
+        seg, offs = segments(rings)
+        return hulls_of(seg[0], seg[1], offs)
 
     return measure(geom["rings"])
 

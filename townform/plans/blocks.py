@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from townform.functions import geometry as G
-from townform.functions.kernels import convex_hull, list_sizes, starts
+from townform.functions.kernels import convex_hulls, list_sizes, starts
 from townform.functions.scalar import TWO_THIRDS, or_zero, ratio
 from townform.functions.shapes import HULL, hulls_of
 from townform.operators.components import components
@@ -76,18 +76,19 @@ def _compacity() -> Column:
 
 # --- main direction ------------------------------------------------------------------
 
-def _points(points: pa.Array):
-    x, y = (points.flatten().field(c).to_pylist() for c in ("x", "y"))
-    at = starts(list_sizes(points)).tolist()
-    return [list(zip(x[a:b], y[a:b])) for a, b in zip(at[:-1], at[1:])]
+def point_arrays(points: pa.Array):
+    flat = points.flatten()
+    x, y = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("x", "y"))
+    return x, y, starts(list_sizes(points))
 
 
 def hull_points(points: Column) -> Column:
     @F.arrow_udf(POINTS)
     def reduce(points: pa.Array) -> pa.Array:
-        return pa.array([[{"x": x, "y": y} for x, y in convex_hull(group)]
-                         for group in _points(points)],
-                        pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))
+        x, y, offs = point_arrays(points)
+        at, hull = convex_hulls(x, y, offs)
+        kept = pa.StructArray.from_arrays([pa.array(x[at]), pa.array(y[at])], ["x", "y"])
+        return pa.ListArray.from_arrays(pa.array(hull.astype("int32")), kept)
 
     return reduce(points)
 
@@ -95,7 +96,7 @@ def hull_points(points: Column) -> Column:
 def hull_of_points(points: Column) -> Column:
     @F.arrow_udf(HULL)
     def measure(points: pa.Array) -> pa.Array:
-        return hulls_of(_points(points))
+        return hulls_of(*point_arrays(points))
 
     return measure(points)
 
