@@ -33,6 +33,7 @@ def main() -> None:
              # the test city is small in bytes but not in work: keep all cores busy
              .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
              .config("spark.driver.memory", "8g")
+             .config("spark.python.sql.dataFrameDebugging.enabled", "false")
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
              .getOrCreate())

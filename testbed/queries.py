@@ -27,7 +27,7 @@ from townform.plans import chain
 from townform.plans import typology as Y
 from townform.plans import usr as U
 from townform.schemas import BUILDING_COLUMNS, MEANING, TYPOLOGIES, USR_COLUMNS, typo_label
-from townform.session import checkpoint_dir
+from townform.session import checkpoint_dir, cut_lineage
 from townform.sources import computed as M
 from townform.sources import inputs as I
 from townform.sources.results import as_final, final_counts, write_final
@@ -77,7 +77,7 @@ def pairs(spark, sf_dir):
 
 def with_blocks(spark, sf_dir):
     b = buildings(spark, sf_dir)
-    close = chain.spill(N.close_pairs(b))
+    close = cut_lineage(N.close_pairs(b))
     return b, close, B.block_members(b, close)
 
 
@@ -350,7 +350,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     b, close, members = with_blocks(spark, sf_dir)
     rows = BB.net_compacity(BB.with_contiguity(BB.shape_columns(b), N.contiguity(close)))
-    rows = chain.spill(rows.join(members.select("id_zone", "pk", "pk_block"), ["id_zone", "pk"]))
+    rows = cut_lineage(rows.join(members.select("id_zone", "pk", "pk_block"), ["id_zone", "pk"]))
     return B.block_indicators(rows, b, members, close)
 
 
@@ -388,7 +388,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     b, close, members = with_blocks(spark, sf_dir)
     rows = BB.net_compacity(BB.with_contiguity(BB.shape_columns(b), N.contiguity(close)))
-    rows = chain.spill(rows.join(members.select("id_zone", "pk", "pk_block"), ["id_zone", "pk"]))
+    rows = cut_lineage(rows.join(members.select("id_zone", "pk", "pk_block"), ["id_zone", "pk"]))
     return U.usr_block_stats(B.block_indicators(rows, b, members, close))
 
 
@@ -467,7 +467,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """A small forest trained on the rule's labels, then applied to all buildings."""
     r = everything(spark, sf_dir)
-    features = chain.spill(Y.typology_features(r.building_indicators, r.block_indicators, r.usr_indicators))
+    features = cut_lineage(Y.typology_features(r.building_indicators, r.block_indicators, r.usr_indicators))
     labelled = features.join(rule_typo(spark, sf_dir), ["id_zone", "pk_building"])
     return Y.classify_buildings(Y.train_typology(labelled, P, trees=10, depth=5), features)
 

@@ -81,13 +81,9 @@ def _fingerprint(edges: DataFrame):
     return edges.agg(F.count("*"), F.sum(F.xxhash64(*edges.columns).cast("decimal(38,0)"))).first()
 
 
-def components(edges: DataFrame, keys: Sequence[str], a: str, b: str) -> DataFrame:
-    """``keys``, ``node``, ``root``: the least vertex of the component of every vertex met.
-
-    Components never leave a group of equal ``keys``.
-    """
+def merge_stars(stars: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join up stars of different partitions that share a vertex."""
     keys = list(keys)
-    stars = cut_lineage(contract(edges.hint("rebalance", *keys), keys, a, b))
     roots = stars.groupBy(*keys, "node").agg(F.min("root").alias("first"),
                                              F.max("root").alias("last"))
     split = roots.where("first <> last").select(*keys, "node", "first")
@@ -101,3 +97,12 @@ def components(edges: DataFrame, keys: Sequence[str], a: str, b: str) -> DataFra
     final = links.select(*keys, F.col("node").alias("first"), F.col("root").alias("least"))
     return (roots.join(final, [*keys, "first"], "left")
             .select(*keys, "node", F.coalesce("least", "first").alias("root")))
+
+
+def components(edges: DataFrame, keys: Sequence[str], a: str, b: str) -> DataFrame:
+    """``keys``, ``node``, ``root``: the least vertex of the component of every vertex met.
+
+    Components never leave a group of equal ``keys``.
+    """
+    stars = cut_lineage(contract(edges.hint("rebalance", *keys), keys, a, b))
+    return merge_stars(stars, keys)

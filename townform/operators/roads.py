@@ -15,15 +15,29 @@ from townform.params import Params
 
 
 def road_segments(roads: DataFrame, p: Params = Params()) -> DataFrame:
-    """Segments of the roads with their reach: full width plus margin."""
+    """Segments of the roads with their reach: full width plus margin.
+
+    Long segments are cut, so that none covers many grid cells; the reach of a road is the
+    union of the reaches of its pieces.
+    """
     seg = F.col("seg")
-    return (roads.select("id_zone", (F.col("largeur") + p.road_margin).alias("radius"),
-                         F.explode(G.segments(F.col("the_geom"))).alias("seg"))
-            .where(F.col("radius").isNotNull())
-            .select("id_zone", "radius", seg["x1"].alias("qx"), seg["y1"].alias("qy"),
-                    (seg["x2"] - seg["x1"]).alias("ex"), (seg["y2"] - seg["y1"]).alias("ey"),
-                    G.expand(G.segment_bbox(seg["x1"], seg["y1"], seg["x2"], seg["y2"]),
-                             F.col("radius")).alias("road_box")))
+    size = F.hypot(seg["x2"] - seg["x1"], seg["y2"] - seg["y1"])
+    pieces = F.greatest(F.ceil(size / (4 * p.road_cell)), F.lit(1).cast("long"))
+    whole = (roads.where(F.col("largeur").isNotNull())
+             .select("id_zone", (F.col("largeur") + p.road_margin).alias("radius"),
+                     F.explode(G.segments(F.col("the_geom"))).alias("seg"))
+             .select("id_zone", "radius", "seg.x1", "seg.y1",
+                     (seg["x2"] - seg["x1"]).alias("dx"), (seg["y2"] - seg["y1"]).alias("dy"),
+                     pieces.alias("pieces")))
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1))
+    return (whole.withColumn("part", part)
+            .select("id_zone", "radius",
+                    (F.col("x1") + F.col("dx") * F.col("part") / F.col("pieces")).alias("qx"),
+                    (F.col("y1") + F.col("dy") * F.col("part") / F.col("pieces")).alias("qy"),
+                    (F.col("dx") / F.col("pieces")).alias("ex"), (F.col("dy") / F.col("pieces")).alias("ey"))
+            .withColumn("road_box", G.expand(
+                G.segment_bbox(F.col("qx"), F.col("qy"), F.col("qx") + F.col("ex"), F.col("qy") + F.col("ey")),
+                F.col("radius"))))
 
 
 def outer_walls(buildings: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from townform.plans.buildings import building_indicators
 from townform.plans.typology import classify_buildings, typo_buildings, typo_usr, typology_features
 from townform.plans.usr import usr_indicators
 from townform.sources import inputs as I
+from townform.session import cut_lineage
 from townform.sources.results import write_final
 
 
@@ -50,11 +51,12 @@ def spill(df: DataFrame) -> DataFrame:
 
 
 def compute(inputs: Inputs, codes: I.Codes = None, p: Params = Params(),
-            keep: Callable[[DataFrame], DataFrame] = spill) -> Results:
+            keep: Callable[[DataFrame], DataFrame] = cut_lineage) -> Results:
     """Indicators of all communes in ``codes`` that have buildings.
 
     ``keep`` is applied to the tables read more than once: prepared buildings, close pairs and
-    building indicators. Pass ``session.cut_lineage`` to write them to the shared folder.
+    building and block indicators. They go to the shared checkpoint folder, so neither a lost
+    executor nor a long plan makes them be computed twice; pass ``spill`` to cache instead.
     """
     # partitioned once by the key of all later joins
     buildings = keep(I.prepare_buildings(inputs.bati, inputs.zones, codes, p).repartition("id_zone", "pk"))
@@ -67,7 +69,7 @@ def compute(inputs: Inputs, codes: I.Codes = None, p: Params = Params(),
     pairs = keep(close_pairs(buildings, p))
     members = B.block_members(buildings, pairs)
     by_building = keep(building_indicators(buildings, roads, pairs, members, p))
-    by_block = B.block_indicators(by_building, buildings, members, pairs, p)
+    by_block = keep(B.block_indicators(by_building, buildings, members, pairs, p))
     by_usr = usr_indicators(usr, by_building, by_block, outline, iris, p)
     return Results(outline, I.skipped_communes(catalogue, buildings), usr, buildings, iris, pairs,
                    members, by_building, by_block, by_usr)

@@ -145,10 +145,10 @@ def prepare_iris(iris: DataFrame, codes: Codes = None) -> DataFrame:
 
 
 def processable_communes(communes: DataFrame, buildings: DataFrame) -> DataFrame:
-    """Communes with at least one prepared building."""
-    return communes.join(buildings.select("id_zone"), "id_zone", "left_semi")
+    """Communes with at least one prepared building. Zones are reduced before the shuffle."""
+    return communes.join(buildings.select("id_zone").distinct(), "id_zone", "left_semi")
 
 
 def skipped_communes(communes: DataFrame, buildings: DataFrame) -> DataFrame:
     """Communes left out of a run, since they have no prepared building."""
-    return communes.join(buildings.select("id_zone"), "id_zone", "left_anti")
+    return communes.join(buildings.select("id_zone").distinct(), "id_zone", "left_anti")
