@@ -111,11 +111,11 @@ def near_intervals(pairs: DataFrame) -> DataFrame:
              & (strip_lo <= strip_hi))
     s4 = _stage(s3, *wall, "q_lo", "q_hi", "r_lo", "r_hi",
                 s_lo=F.when(strip, strip_lo), s_hi=F.when(strip, strip_hi))
-    # the three parts of a capsule meet, so their hull is their union
-    return (s4.select(*wall,
-                      F.greatest(F.least("q_lo", "r_lo", "s_lo"), F.lit(0.0)).alias("t0"),
-                      F.least(F.greatest("q_hi", "r_hi", "s_hi"), F.lit(1.0)).alias("t1"))
-            .where("t0 < t1 and least(t0, t1) is not null"))
+    # the three parts of a capsule meet, so their hull is their union; all may be missing
+    hull = s4.select(*wall, F.least("q_lo", "r_lo", "s_lo").alias("lo"),
+                     F.greatest("q_hi", "r_hi", "s_hi").alias("hi")).where("lo < 1 and hi > 0")
+    return hull.select(*wall, F.greatest("lo", F.lit(0.0)).alias("t0"),
+                       F.least("hi", F.lit(1.0)).alias("t1")).where("t0 < t1")
 
 
 def near_roads(buildings: DataFrame, roads: DataFrame, p: Params = Params()) -> DataFrame:

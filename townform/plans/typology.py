@@ -71,7 +71,9 @@ def typology_features(indicators: DataFrame, blocks: DataFrame, usr: DataFrame)
 
 
 def _complete(features: DataFrame) -> DataFrame:
-    return features.dropna(subset=list(FEATURES))
+    # one opaque test: seventy null checks would be propagated as constraints through the plan
+    values = F.array(*[F.col(c).cast("double") for c in FEATURES])
+    return features.where(~F.exists(values, lambda v: v.isNull()))
 
 
 def train_typology(labelled: DataFrame, p: Params = Params(), trees: int = 100,
