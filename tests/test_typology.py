@@ -4,6 +4,7 @@ from shapes_in_town import by_pk
 
 from townform.plans import typology as Y
 from townform.schemas import TYPOLOGIES
+from townform.session import cut_lineage
 
 
 def typed(spark, rows):
@@ -42,9 +43,9 @@ def test_rounds_half_to_even(spark):
 
 
 def test_forest_learns_and_leaves_unknown_rows_open(spark):
-    base = spark.range(400).select(
+    base = cut_lineage(spark.range(400).select(
         F.lit(0).alias("id_zone"), (F.col("id") % 7).cast("int").alias("pk_usr"), F.col("id").cast("int").alias("pk_building"),
-        *[((F.col("id") * (k + 3)) % 11).cast("double").alias(c) for k, c in enumerate(Y.FEATURES)])
+        *[((F.col("id") * (k + 3)) % 11).cast("double").alias(c) for k, c in enumerate(Y.FEATURES)]))
     rows = base.withColumn("typo", F.when(F.col("i_area") > 5, "ba").otherwise("pd"))
     model = Y.train_typology(rows, trees=20, depth=5)
     holes = base.withColumn("i_h", F.when(F.col("pk_building") == 3, F.lit(None)).otherwise(F.col("i_h")))
@@ -57,10 +58,10 @@ def test_forest_learns_and_leaves_unknown_rows_open(spark):
 
 def test_model_round_trip(spark, tmp_path):
     from pyspark.ml import PipelineModel
-    rows = spark.range(60).select(
+    rows = cut_lineage(spark.range(60).select(
         F.lit(0).alias("id_zone"), F.lit(1).alias("pk_usr"), F.col("id").cast("int").alias("pk_building"),
         *[(F.col("id") % (k + 2)).cast("double").alias(c) for k, c in enumerate(Y.FEATURES)],
-        F.when(F.col("id") % 2 == 0, "id").otherwise("psc").alias("typo"))
+        F.when(F.col("id") % 2 == 0, "id").otherwise("psc").alias("typo")))
     model = Y.train_typology(rows, trees=5, depth=3)
     model.write().overwrite().save(str(tmp_path / "forest"))
     again = PipelineModel.load(str(tmp_path / "forest"))
