@@ -137,9 +137,11 @@ def city(spark: SparkSession, sf_dir: str) -> Inputs:
                       (2 + F.col("g") % 3).cast("double").alias("largeur"),
                       F.col("code_insee").alias("inseecom_g"), F.col("code_insee").alias("inseecom_d"),
                       G.line(F.col("g") * 60, F.col("y0") - 20, F.col("g") * 60, F.col("y1") + 20).alias("the_geom")))
+    # the part table is one file; a real source has many, read by as many tasks
+    spread = rows.repartition(spark.sparkContext.defaultParallelism)
     return Inputs(
         zones=_box(communes).withColumnRenamed("id_zone", "ogc_fid"),
         usr=_box(usr).withColumnRenamed("id_zone", "idzone"),
-        bati=_bati(rows),
+        bati=_bati(spread),
         roads=border.unionByName(across),
         iris=iris)
