@@ -35,8 +35,10 @@ def close_pairs(buildings: DataFrame, p: Params = Params()) -> DataFrame:
     a, b = F.col("geom_a"), F.col("geom_b")
     near = F.col("gap.dist") <= p.epsilon
     unit = F.col("pk_usr_a").eqNullSafe(F.col("pk_usr_b"))
+    # behind a generator: a filter on a plain column would be pushed down with its kernel, and
+    # the kernel would run twice
     return (pairs
-            .withColumn("gap", polygon_gap(a, b, p.snap))
+            .select("*", F.explode(F.array(polygon_gap(a, b, p.snap))).alias("gap"))
             .where(F.col("gap.dist") <= reach)
             .withColumns({
                 "spans_a": covered_spans(F.when(near, a), F.when(near, b), p.epsilon),
