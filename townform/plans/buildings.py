@@ -98,13 +98,17 @@ def net_compacity(buildings: DataFrame) -> DataFrame:
         .otherwise(F.col("compacity_r")))
 
 
-def passive_volume(buildings: DataFrame, spans: DataFrame, p: Params = Params()) -> DataFrame:
-    """Share of the footprint lit from free walls. ``spans``: hidden wall parts by building."""
+def passive_share(rows: DataFrame, p: Params = Params()) -> DataFrame:
+    """Turn the hidden wall parts of each building (``spans``) into its lit share."""
     hidden = F.coalesce("spans", F.array().cast(SPAN))
     lit = lit_floor_area(F.col("the_geom"), hidden, p.passive_depth)
-    return (buildings.join(spans, KEY, "left")
-            .withColumn("p_vol_ratio", F.round(F.least(ratio(lit, F.col("area")), F.lit(1.0)), 2))
-            .drop("spans"))
+    return rows.withColumn(
+        "p_vol_ratio", F.round(F.least(ratio(lit, F.col("area")), F.lit(1.0)), 2)).drop("spans")
+
+
+def passive_volume(buildings: DataFrame, spans: DataFrame, p: Params = Params()) -> DataFrame:
+    """Share of the footprint lit from free walls. ``spans``: hidden wall parts by building."""
+    return passive_share(buildings.join(spans, KEY, "left"), p)
 
 
 def road_columns(buildings: DataFrame, near: DataFrame) -> DataFrame:
@@ -119,13 +123,15 @@ def road_columns(buildings: DataFrame, near: DataFrame) -> DataFrame:
 def building_indicators(buildings: DataFrame, roads: DataFrame, pairs: DataFrame,
                         members: DataFrame, p: Params = Params()) -> DataFrame:
     """The building table. All joined parts are aggregates by building, so each side is
-    already partitioned by its key when it meets the buildings."""
+    already partitioned by its key when it meets the buildings. The kernel comes after the
+    joins, since its output no longer counts as partitioned."""
     rows = shape_columns(buildings, p)
     rows = with_contiguity(rows, contiguity(pairs, p))
     rows = net_compacity(rows)
-    rows = passive_volume(rows, hidden_spans(pairs, p), p)
+    rows = rows.join(hidden_spans(pairs, p), KEY, "left")
     rows = rows.join(building_distances(buildings, p), KEY, "left")
     rows = road_columns(rows, walls_near_roads(buildings, roads, p))
     rows = rows.join(members.select(*KEY, "pk_block"), KEY, "left")
+    rows = passive_share(rows, p)
     filled = ("min_dist", "mean_dist", "max_dist", "std_dist", "insee_individus")
     return rows.withColumns({c: or_zero(F.col(c)) for c in filled}).select(*BUILDING_COLUMNS)
