@@ -7,7 +7,7 @@ and courtyards from a flood fill of unit cells.
 
 from __future__ import annotations
 
-from testbed.city import BUILDINGS_SQL, COMMUNES_SQL, EXTRA_ZONE, IRIS_SQL, ROADS_SQL, USR_SQL
+from testbed.city import BUILDINGS_SQL, COMMUNES_SQL, IRIS_SQL, ROADS_SQL, USR_SQL
 from townform.plans.typology import BLOCK_FEATURES, BUILDING_FEATURES, USR_FEATURES
 from townform.schemas import TYPO_LABELS, TYPOLOGIES
 
@@ -54,8 +54,7 @@ def check(final: str, *needs: str) -> str:
 
     for n in needs:
         visit(n)
-    tables = ",\n".join(
-        (f"{n} AS ({CTES[n][1]})" if "(" not in n else f"{n} AS ({CTES[n][1]})") for n in order)
+    tables = ",\n".join(f"{n} AS ({CTES[n][1]})" for n in order)
     return f"WITH RECURSIVE {tables}\n{final}"
 
 
@@ -421,4 +420,3 @@ SELECT t.*, r.typo_maj, r.typo_second FROM typo_table t JOIN (
 """)
 
 LABEL_VALUES = ", ".join("('{}', '{}')".format(t, label.replace("'", "''")) for t, label in TYPO_LABELS.items())
-EXTRA = EXTRA_ZONE
