@@ -4,8 +4,7 @@ import pytest
 from compare import checking_engine, differences
 
 import __spark_entry__ as entry
-
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+from testbed.queries import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
