@@ -260,7 +260,8 @@ def lexicon(rows: list[tuple[bytes, int]], most: int = TERMS) -> tuple[list[byte
     for t in sorted((t for t in support if t[:1] == b"^"), key=lambda t: (len(t), t)):
         single = max((n for w, n in support.items() if w[:1] == b"=" and w[1:].startswith(t[1:])), default=0)
         if single < 0.6 * support[t] and not any(t[1:].startswith(s) for s in stems):
-            stems.append(t[1:])
+            longest = max((u for u in support if u.startswith(t) and support[u] >= 0.95 * support[t]), key=lambda u: (len(u), u))
+            stems.append(longest[1:])
     words = [t[1:] for t in support if t[:1] == b"=" and not t[1:].startswith(tuple(stems) or (b"\xff\xff",))]
     rank = sorted([(-support[b"=" + w], w, False) for w in words] + [(-support[b"^" + s], s, True) for s in stems])[:most]
     return [w for _, w, stem in rank if not stem], [w for _, w, stem in rank if stem]
