@@ -287,7 +287,8 @@ def linked_groups(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, ke
     sets = facts.where(F.col("kind") == DOC).where("node IS NOT NULL").groupBy("node").agg(F.min("doc").alias("doc"), F.max("n").alias("n"))
     families = components(facts.where(F.col("kind") == HUB).select(F.col("doc").alias("a"), F.col("node").alias("b")))
     families = staged(families.join(sets, "node").select("node", F.col("root").alias("family"), "doc", "n"), "families")
-    texts = rows.join(families.select("doc", "node", "family"), "doc").select("family", "node", "text")
+    # one way for every size: the texts are dealt by identifier, the members are not broadcast
+    texts = rows.join(families.select("doc", "node", "family").hint("merge"), "doc").select("family", "node", "text")
     members = staged(texts.mapInArrow(_sets(n), SET).dropDuplicates(["node"]), "sets")
     blocks = F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n") * 8 / BLOCK_BYTES)).alias("blocks")
     spread = members.join(families.groupBy("family").agg(blocks), "family")
