@@ -145,8 +145,7 @@ def _emit(n: int, num: int, den: int, buckets: int):
                 linked = (sizes > 0) & own.is_valid().to_numpy(zero_copy_only=False)
                 node = pa.array(names, mask=~linked)
                 lot = len(sizes)
-                home = names.view(np.uint64) % np.uint64(buckets)
-                yield _batch(np.full(lot, DOC), home.astype(np.int32), pa.nulls(lot, pa.binary()), own, node, sizes)
+                yield _batch(np.full(lot, DOC), np.arange(lot, dtype=np.int32) % buckets, pa.nulls(lot, pa.binary()), own, node, sizes)
                 fresh = np.zeros(lot, bool)
                 for k in np.flatnonzero(linked):
                     name = int(names[k])
