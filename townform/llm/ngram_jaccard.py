@@ -5,9 +5,12 @@ A document is the set of its word n-grams, as 64-bit fingerprints. Documents lin
 
 1. *Bounds.* Documents of linked sizes stand in the same or in neighbouring size classes, and their
    sets differ in at most ``d`` n-grams, which follows from the class. So the columns of the matrix
-   are cut into ``d + 1`` parts: two linked documents agree wholly in one part at least. A part's
-   content has a fingerprint; a boilerplate passage does not make parts agree, as a part also holds
-   what is the document's own. No n-gram has a posting list, however frequent.
+   are cut into more than ``d`` parts: two linked documents agree wholly in one part at least, and
+   in one that is not empty if either has more than ``d`` such parts. (Else it names its empty parts
+   as well.) A part's content has a fingerprint; a boilerplate passage seldom makes parts agree, as a
+   part also holds what is the document's own. N-grams in ``COMMON`` of a bounded sample of documents
+   are left out of the parts, which leaves the argument as it is and parts more telling. No n-gram
+   has a posting list, however frequent.
 2. *Families.* Documents with a part in common are joined to a hub, the least of them, first inside
    each batch, then by part; so a part that a third of all documents share reaches its reducer as
    one row per batch. Equal sets are one member from here on. Components of the hub links are
@@ -41,6 +44,7 @@ from townform.llm.links import components
 from townform.llm.tables import staged, width
 from townform.llm.words import NOT_BLANK, mix, split_words, text_slices, window_prints
 
+SAMPLE, COMMON = 2000, 0.02
 BLOCK_ROWS, BLOCK_BYTES, ROWS_AT_ONCE, CELLS = 2048, 24 << 20, 512, 1 << 21
 PART, HUB, DOC = 0, 1, 2
 PACKED = "kind int, bucket int, payload binary, doc long, node long, n long"
@@ -49,23 +53,24 @@ SET = "family long, node long, n long, grams binary"
 
 
 @lru_cache(maxsize=8)
-def size_classes(num: int, den: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Lower bounds of the size classes up to ``most`` and the parts that pairs from each class need.
+def size_classes(num: int, den: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lower bounds of the size classes up to ``most``, differences that pairs from each class can have, parts.
 
     The largest size that links with any of class c is in class c + 1 at most.
     """
-    lows, parts = [], []
+    lows, apart = [], []
     low = 1
     while low <= most:
         high = low * den // num
         partner = high * den // num
         lows.append(low)
-        parts.append((high + partner) * (den - num) // (den + num) + 1)
+        apart.append((high + partner) * (den - num) // (den + num))
         low = high + 1
-    return np.array(lows or [1]), np.array(parts or [1])
+    d = np.array(apart or [0])
+    return np.array(lows or [1]), d, np.where(d > 0, d + 2 + (d + 1) * 3 // 20, 1)
 
 
-def classes_for(num: int, den: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+def classes_for(num: int, den: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     size = 1024
     while size < most:
         size *= 4
@@ -90,10 +95,11 @@ def set_names(grams: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return mix(sums[bounds[1:]] - sums[bounds[:-1]] + np.diff(bounds).astype(np.uint64)).view(np.int64)
 
 
-def part_prints(grams: np.ndarray, bounds: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprints of all parts of all sets, for their own class and the one below; and the sets' numbers."""
+def part_prints(grams: np.ndarray, bounds: np.ndarray, num: int, den: int, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints of the parts of all sets, for their own class and the one below; and the sets' numbers."""
     sizes = np.diff(bounds)
-    lows, parts = classes_for(num, den, int(sizes.max(initial=1)))
+    own_gram = ~np.isin(grams, common)
+    lows, apart, parts = classes_for(num, den, int(sizes.max(initial=1)))
     own = np.searchsorted(lows, sizes, "right") - 1
     value, spread = mix(grams * np.uint64(3)), mix(grams ^ np.uint64(0x5851F42D4C957F2D))
     prints, owners = [], []
@@ -103,14 +109,18 @@ def part_prints(grams: np.ndarray, bounds: np.ndarray, num: int, den: int) -> tu
         base = np.concatenate([[0], np.cumsum(m)])
         row = np.repeat(np.arange(len(sizes)), np.where(m > 0, sizes, 0))
         use = np.repeat(m > 0, sizes)
-        cells = np.zeros(base[-1], np.uint64)
+        row, use = row[own_gram[use]], use & own_gram
+        cells, filled = np.zeros(base[-1], np.uint64), np.zeros(base[-1], bool)
         slot = base[row] + ((spread[use] >> np.uint64(33)) % m[row].astype(np.uint64)).astype(np.int64)
         np.add.at(cells, slot, value[use])
+        filled[slot] = True
         owner = np.repeat(np.arange(len(sizes)), m)
+        few = np.bincount(owner[filled], minlength=len(sizes)) <= apart[np.maximum(kind, 0)]
         part = np.arange(len(cells)) - base[owner]
         tag = part.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + kind[owner].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
-        prints.append(mix(cells + mix(tag)))
-        owners.append(owner)
+        named = filled | few[owner]
+        prints.append(mix(cells + mix(tag))[named])
+        owners.append(owner[named])
     return np.concatenate(prints), np.concatenate(owners)
 
 
@@ -133,7 +143,7 @@ def _batch(kind, bucket, payload, doc, node, n) -> pa.RecordBatch:
          pa.array(node, pa.int64()), pa.array(n, pa.int64())], ["kind", "bucket", "payload", "doc", "node", "n"])
 
 
-def _emit(n: int, num: int, den: int, buckets: int):
+def _emit(n: int, num: int, den: int, buckets: int, common: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
@@ -151,7 +161,7 @@ def _emit(n: int, num: int, den: int, buckets: int):
                     name = int(names[k])
                     fresh[k] = name not in seen
                     seen.add(name)
-                prints, owner = part_prints(grams, bounds, num, den)
+                prints, owner = part_prints(grams, bounds, num, den, common)
                 use = fresh[owner]
                 prints, hub, pairs = hubs(prints[use], names[owner[use]])
                 place = (prints >> np.uint64(40)) % np.uint64(buckets)
@@ -275,12 +285,28 @@ def _product(num: int, den: int):
     return run
 
 
+def common_grams(rows: DataFrame, n: int, sample: int = SAMPLE, share: float = COMMON) -> np.ndarray:
+    """N-grams in more than ``share`` of ``sample`` documents drawn by a hash of the identifier; only speed hangs on them.
+
+    There are at most 1 / ``share`` times as many as a sampled document has on average.
+    """
+    def grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, buf, offsets in text_slices(batch.column(0)):
+                yield pa.RecordBatch.from_arrays([pa.array(gram_sets(buf, offsets, n)[0].view(np.int64))], ["gram"])
+
+    drawn = rows.select("doc").where("doc IS NOT NULL").orderBy(F.xxhash64("doc"), "doc").limit(sample)
+    texts = rows.join(F.broadcast(drawn.distinct()), "doc").select("text")  # at most ``sample`` identifiers
+    found = texts.mapInArrow(grams_of, "gram long").groupBy("gram").count().where(F.col("count") > max(20, share * sample))
+    return np.sort(np.array([r["gram"] for r in found.select("gram").collect()], np.int64)).view(np.uint64)
+
+
 def linked_groups(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the least doc_id reachable by links)."""
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     buckets = 8 * width(spark)
-    facts = (rows.mapInArrow(_emit(n, num, den, buckets), PACKED).repartition(width(spark), "bucket")
+    facts = (rows.mapInArrow(_emit(n, num, den, buckets, common_grams(rows, n)), PACKED).repartition(width(spark), "bucket")
              .sortWithinPartitions("bucket").mapInArrow(_gather, FACTS))
     facts = staged(facts, "facts")
     sets = facts.where(F.col("kind") == DOC).where("node IS NOT NULL").groupBy("node").agg(F.min("doc").alias("doc"), F.max("n").alias("n"))
@@ -288,7 +314,7 @@ def linked_groups(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, ke
     families = staged(families.join(sets, "node").select("node", F.col("root").alias("family"), "doc", "n"), "families")
     # one way for every size: the texts are dealt by identifier, the members are not broadcast
     texts = rows.join(families.select("doc", "node", "family").hint("merge"), "doc").select("family", "node", "text")
-    members = staged(texts.mapInArrow(_sets(n), SET).dropDuplicates(["node"]), "sets")
+    members = staged(texts.mapInArrow(_sets(n), SET), "sets")
     blocks = F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n") * 8 / BLOCK_BYTES)).alias("blocks")
     spread = members.join(families.groupBy("family").agg(blocks), "family")
     spread = spread.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
@@ -309,4 +335,4 @@ def one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, key:
     while name in docs.columns:
         name += "_"
     gone = staged(groups.where(F.col(key) != F.col("component_id")).select(F.col(key).alias(name)).distinct(), "gone")
-    return docs.join(gone, docs[key] == gone[name], "left_anti")
+    return docs.join(gone.hint("merge"), docs[key] == gone[name], "left_anti")

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from townform.session import checkpoint_dir
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -25,7 +28,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_folder(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    if before is not None:
+        spark.conf.set(CLEANUP, "true")  # the exchanges behind the table are not read again
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is not None:
+            spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
