@@ -49,7 +49,7 @@ BLOCK_ROWS, BLOCK_BYTES, ROWS_AT_ONCE, CELLS = 2048, 24 << 20, 512, 1 << 21
 PART, HUB, DOC = 0, 1, 2
 PACKED = "kind int, bucket int, payload binary, doc long, node long, n long"
 FACTS = "kind int, doc long, node long, n long"
-SET = "family long, node long, n long, grams binary"
+SET = "family long, node long, blocks long, grams binary"
 
 
 @lru_cache(maxsize=8)
@@ -206,13 +206,13 @@ def _sets(n: int):
     """The n-gram sets of the members of families: their texts, with the set that is asked for."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin, buf, offsets in text_slices(batch.column(2)):
+            for begin, buf, offsets in text_slices(batch.column(3)):
                 grams, bounds = gram_sets(buf, offsets, n)
-                asked = batch.column(1).slice(begin, len(offsets) - 1)
+                lot = batch.slice(begin, len(offsets) - 1)
+                asked = lot.column(1)
                 good = pa.array(set_names(grams, bounds) == asked.to_numpy())
                 body = pa.array([grams[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary())
-                out = pa.RecordBatch.from_arrays([batch.column(0).slice(begin, len(offsets) - 1), asked, pa.array(np.diff(bounds)), body],
-                                                 ["family", "node", "n", "grams"])
+                out = pa.RecordBatch.from_arrays([lot.column(0), asked, lot.column(2), body], ["family", "node", "blocks", "grams"])
                 yield out.filter(good)
     return run
 
@@ -312,12 +312,12 @@ def linked_groups(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, ke
     sets = facts.where(F.col("kind") == DOC).where("node IS NOT NULL").groupBy("node").agg(F.min("doc").alias("doc"), F.max("n").alias("n"))
     families = components(facts.where(F.col("kind") == HUB).select(F.col("doc").alias("a"), F.col("node").alias("b")))
     families = staged(families.join(sets, "node").select("node", F.col("root").alias("family"), "doc", "n"), "families")
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n") * 8 / BLOCK_BYTES)).cast("long").alias("blocks")
+    families = families.join(families.groupBy("family").agg(blocks), "family")
     # one way for every size: the texts are dealt by identifier, the members are not broadcast
-    texts = rows.join(families.select("doc", "node", "family").hint("merge"), "doc").select("family", "node", "text")
-    members = staged(texts.mapInArrow(_sets(n), SET), "sets")
-    blocks = F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n") * 8 / BLOCK_BYTES)).alias("blocks")
-    spread = members.join(families.groupBy("family").agg(blocks), "family")
-    spread = spread.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    texts = rows.join(families.hint("merge"), "doc").select("family", "node", "blocks", "text")
+    spread = (texts.mapInArrow(_sets(n), SET).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))))
     tasks = (spread.select("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "grams")
              .repartition("family", "i", "j").sortWithinPartitions("family", "i", "j"))
     links = components(tasks.mapInArrow(_product(num, den), "a long, b long"))
