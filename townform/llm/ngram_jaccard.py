@@ -44,7 +44,7 @@ from townform.llm.links import components
 from townform.llm.tables import staged, width
 from townform.llm.words import NOT_BLANK, mix, split_words, text_slices, window_prints
 
-SAMPLE, COMMON = 2000, 0.02
+SAMPLE, COMMON = 10_000, 0.002
 BLOCK_ROWS, BLOCK_BYTES, ROWS_AT_ONCE, CELLS = 2048, 24 << 20, 512, 1 << 21
 PART, HUB, DOC = 0, 1, 2
 PACKED = "kind int, bucket int, payload binary, doc long, node long, n long"
