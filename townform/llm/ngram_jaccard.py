@@ -241,10 +241,13 @@ def forest(nodes: np.ndarray, side: np.ndarray, sets: list[np.ndarray], num: int
             high = min(k, low + ROWS_AT_ONCE)
             end = int(np.searchsorted(sizes, sizes[high - 1] * den // num, "right"))  # larger ones cannot link
             counts[low:high, low:end] += m[low:high] @ m[low:end].T
-    union = sizes[:, None] + sizes[None, :] - counts.astype(np.int64)
-    link = counts.astype(np.int64) * den >= union * num
-    if side.any():
-        link &= side[:, None] != side[None, :]
+    link = np.zeros((k, k), bool)
+    for low in range(0, k, ROWS_AT_ONCE):
+        rows = slice(low, low + ROWS_AT_ONCE)
+        both = counts[rows].astype(np.int64)
+        link[rows] = both * den >= (sizes[rows, None] + sizes[None, :] - both) * num
+        if side.any():
+            link[rows] &= side[rows, None] != side[None, :]
     link = np.triu(link, 1)
     link |= link.T
     todo, pairs = np.ones(k, bool), []
