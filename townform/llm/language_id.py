@@ -132,7 +132,7 @@ def _judge(samples: tuple[tuple[str, str], ...]):
     names = [name for name, _ in samples]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbol, table, starts = parser(samples)
+        symbol, table, starts = parser(samples) if names else (None, None, None)
         for batch in batches:
             ids, held, texts = batch.column(0).cast(pa.int64()), batch.column(1), batch.column(2).to_pylist()
             begin = 0

@@ -298,6 +298,8 @@ def repeated_starts(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndar
 
 def runs(node: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Join consecutive starts of a node to (first, last) spans."""
+    if not len(node):
+        return node, np.zeros((0, 2), np.int64)
     order = np.lexsort((start, node))
     node, start = node[order], start[order]
     new = np.ones(len(node), bool)
