@@ -224,7 +224,7 @@ def segments(geom: Column) -> Column:
     def of_ring(r):
         pts = r["pts"]
         return F.zip_with(
-            F.slice(pts, 1, F.size(pts) - 1), F.slice(pts, 2, F.size(pts) - 1),
+            F.slice(pts, 1, F.greatest(F.size(pts) - 1, F.lit(0))), F.slice(pts, 2, F.greatest(F.size(pts) - 1, F.lit(0))),
             lambda a, b: F.struct(r["hole"].alias("hole"), a["x"].alias("x1"), a["y"].alias("y1"),
                                   b["x"].alias("x2"), b["y"].alias("y2")))
 

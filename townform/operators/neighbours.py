@@ -22,19 +22,20 @@ def _side(buildings: DataFrame, side: str, reach: float) -> DataFrame:
 
 
 def close_pairs(buildings: DataFrame, p: Params = Params()) -> DataFrame:
-    """Each pair of buildings of a commune at most two block buffers apart, once (a < b).
+    """Each pair of buildings of a commune at most two block buffers (or ``epsilon``) apart, once (a < b).
 
     The outlines travel with the grid join, which costs less than two joins back to the
     buildings. ``spans_a`` are the wall intervals of a hidden by b within ``epsilon`` (and the
     reverse for ``spans_b``), ``cover_a`` / ``cover_b`` the same at the
     reach of a block, for pairs of one unit.
     """
-    reach = 2 * p.block_buffer
+    block_reach = 2 * p.block_buffer
+    reach = max(block_reach, p.epsilon, p.snap)
     pairs = grid_join(_side(buildings, "a", reach), _side(buildings, "b", reach), "box_a", "box_b",
                       p.building_cell, condition=F.col("pk_a") < F.col("pk_b"))
     a, b = F.col("geom_a"), F.col("geom_b")
     near = F.col("gap.dist") <= p.epsilon
-    unit = F.col("pk_usr_a").eqNullSafe(F.col("pk_usr_b"))
+    unit = F.col("pk_usr_a").eqNullSafe(F.col("pk_usr_b")) & (F.col("gap.dist") <= block_reach)
     # behind a generator: a filter on a plain column would be pushed down with its kernel, and
     # the kernel would run twice
     return (pairs
@@ -43,8 +44,8 @@ def close_pairs(buildings: DataFrame, p: Params = Params()) -> DataFrame:
             .withColumns({
                 "spans_a": covered_spans(F.when(near, a), F.when(near, b), p.epsilon),
                 "spans_b": covered_spans(F.when(near, b), F.when(near, a), p.epsilon),
-                "cover_a": covered_spans(F.when(unit, a), F.when(unit, b), reach, contacts=True),
-                "cover_b": covered_spans(F.when(unit, b), F.when(unit, a), reach, contacts=True)})
+                "cover_a": covered_spans(F.when(unit, a), F.when(unit, b), block_reach, contacts=True),
+                "cover_b": covered_spans(F.when(unit, b), F.when(unit, a), block_reach, contacts=True)})
             .select("id_zone", "pk_a", "pk_b", "pk_usr_a", "pk_usr_b", "h_a", "h_b",
                     F.col("gap.dist").alias("dist"), F.col("gap.shared").alias("shared"),
                     "spans_a", "spans_b", "cover_a", "cover_b"))

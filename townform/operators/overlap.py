@@ -18,7 +18,7 @@ def max_overlap(left: DataFrame, left_key: str, right: DataFrame, right_key: str
     """``keys``, ``left_key`` and the best ``right_key``; NULL without any candidate.
 
     Candidates are rows whose boxes, widened by ``grow``, meet. Areas are only computed where
-    there is a choice; a single candidate wins with any overlap. Ties go to the lowest key.
+    there is a choice, of outlines in either direction; a single candidate wins with any overlap. Ties go to the lowest key.
     """
     keys = list(keys)
 
@@ -32,9 +32,9 @@ def max_overlap(left: DataFrame, left_key: str, right: DataFrame, right_key: str
     candidates = candidates.withColumn("lone", lone)
     contested = (candidates.where(~F.col("lone"))
                  .join(left.select(*keys, F.col(left_key).alias("key_l"),
-                                   F.col("the_geom").alias("geom_l")), [*keys, "key_l"])
+                                   G.normalize(F.col("the_geom")).alias("geom_l")), [*keys, "key_l"])
                  .join(right.select(*keys, F.col(right_key).alias("key_r"),
-                                    F.col("the_geom").alias("geom_r")), [*keys, "key_r"])
+                                    G.normalize(F.col("the_geom")).alias("geom_r")), [*keys, "key_r"])
                  .withColumn("shared", overlap_area(F.col("geom_l"), F.col("geom_r")))
                  # max_by of (area, key) needs the lowest key first: take the least (-area, key)
                  .groupBy(*keys, "key_l")

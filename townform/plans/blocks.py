@@ -25,16 +25,16 @@ POINTS = "array<struct<x: double, y: double>>"
 HULL_SHARE = 1024  # buildings whose vertices are gathered at once
 
 
-def block_edges(pairs: DataFrame) -> DataFrame:
+def block_edges(pairs: DataFrame, p: Params = Params()) -> DataFrame:
     """Pairs that belong to one block: close enough and of one unit."""
-    return (pairs.where(F.col("pk_usr_a").eqNullSafe(F.col("pk_usr_b")))
+    return (pairs.where(F.col("pk_usr_a").eqNullSafe(F.col("pk_usr_b")) & (F.col("dist") <= 2 * p.block_buffer))
             .select("id_zone", F.col("pk_usr_a").alias("pk_usr"), "pk_a", "pk_b"))
 
 
-def block_members(buildings: DataFrame, pairs: DataFrame) -> DataFrame:
+def block_members(buildings: DataFrame, pairs: DataFrame, p: Params = Params()) -> DataFrame:
     """Block of every building. A block is named by its lowest building key, which is unique
     in the commune and needs no global numbering."""
-    edges = block_edges(pairs).withColumn("pk_usr", F.coalesce("pk_usr", F.lit(-1)))
+    edges = block_edges(pairs, p).withColumn("pk_usr", F.coalesce("pk_usr", F.lit(-1)))
     found = components(edges, ["id_zone", "pk_usr"], "pk_a", "pk_b")
     return (buildings.select("id_zone", "pk", "pk_usr")
             .join(found.select("id_zone", F.col("node").alias("pk"), "root"), ["id_zone", "pk"], "left")

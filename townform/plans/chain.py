@@ -67,7 +67,7 @@ def compute(inputs: Inputs, codes: I.Codes = None, p: Params = Params(),
     outline = I.commune_outline(inputs.zones, codes).join(ready.select("id_zone"), "id_zone", "left_semi")
     iris = I.prepare_iris(inputs.iris, codes)
     pairs = keep(close_pairs(buildings, p))
-    members = B.block_members(buildings, pairs)
+    members = B.block_members(buildings, pairs, p)
     by_building = keep(building_indicators(buildings, roads, pairs, members, p))
     by_block = keep(B.block_indicators(by_building, buildings, members, pairs, p))
     by_usr = usr_indicators(usr, by_building, by_block, outline, iris, p)
