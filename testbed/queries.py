@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -404,6 +405,41 @@ def _(spark, sf_dir):
     return U.usr_iris(I.prepare_usr(c.usr), I.prepare_iris(c.iris))
 
 
+def _outlines(df, change):
+    """The same rows with other points in their rings."""
+    rings = F.transform("the_geom.rings", lambda r: r.withField("pts", change(r["pts"])))
+    return df.withColumn("the_geom", F.col("the_geom").withField("rings", rings))
+
+
+@query("usr_iris_reversed", "id_zone pk_usr", "", "dcomiris", "best_iris", "best_iris")
+def _(spark, sf_dir):
+    """Units and districts that run the other way round."""
+    c = city(spark, sf_dir)
+    return U.usr_iris(_outlines(I.prepare_usr(c.usr), F.reverse), _outlines(I.prepare_iris(c.iris), F.reverse))
+
+
+@query("usr_iris_touching", "id_zone pk_usr", "", "dcomiris",
+       """(SELECT id_zone, pk_usr, dcomiris FROM (
+         SELECT u.id_zone, u.pk AS pk_usr, i.dcomiris, ROW_NUMBER() OVER (PARTITION BY u.id_zone, u.pk ORDER BY
+           LEAST(u.x1, i.x1) - GREATEST(u.x0, i.x0) DESC, i.dcomiris) AS place
+         FROM f_usr u LEFT JOIN f_iris i ON u.id_zone = i.id_zone AND u.x0 <= i.x1 AND i.x0 <= u.x1) s WHERE place = 1) s""",
+       "f_usr f_iris")
+def _(spark, sf_dir):
+    """Districts just south of the units: the longer common border wins."""
+    c = city(spark, sf_dir)
+    south = lambda pts: F.transform(pts, lambda q: F.struct(q["x"].alias("x"), (q["y"] - 50).alias("y")))
+    return U.usr_iris(I.prepare_usr(c.usr), _outlines(I.prepare_iris(c.iris), south))
+
+
+@query("usr_dist_to_center_twice", "id_zone pk_usr", "dist_to_center", oracle="center", needs="center")
+def _(spark, sf_dir):
+    """The chain on a catalogue that lists every commune twice; the entry without data has the lower number."""
+    c = city(spark, sf_dir)
+    again = c.zones.withColumn("ogc_fid", -1 - F.col("ogc_fid"))
+    r = chain.compute(replace(c, zones=again.unionByName(c.zones)))
+    return r.usr_indicators.withColumnRenamed("pk", "pk_usr")
+
+
 @query("building_iris", "id_zone pk", "", "dcomiris",
        """(SELECT id_zone, pk, dcomiris FROM (
          SELECT b.id_zone, b.pk, i.dcomiris, ROW_NUMBER() OVER (PARTITION BY b.id_zone, b.pk ORDER BY

@@ -222,12 +222,36 @@ def covered_walls(seg_a, off_a, seg_b, off_b, tol, contacts=False):
 
 # --- areas of overlaid shapes -----------------------------------------------------
 
+def places(shape, x, of, at, after=False):
+    """How many of the values (shape, x), sorted, stand before each (of, at); ``after``: before or level with."""
+    asked = np.concatenate([np.zeros(len(x), dtype=bool), np.ones(len(at), dtype=bool)])
+    order = np.lexsort((asked == (not after), np.concatenate([x, at]), np.concatenate([shape, of])))
+    before = np.empty(len(asked), dtype=np.int64)
+    before[order] = np.cumsum(~asked[order])
+    return before[len(x):]
+
+
+def bounded(counts):
+    """Cut groups into runs of at most about ``COMBINATIONS`` members: slices of group numbers."""
+    load = np.cumsum(counts) // COMBINATIONS
+    ends = np.flatnonzero(np.diff(load)) + 1
+    return zip(np.concatenate([[0], ends]), np.concatenate([ends, [len(counts)]]))
+
+
 def crossings(edge, offs):
-    """Shape and x of every point where two edges of one shape cross."""
-    counts = np.diff(offs)
-    for g, i, j in combinations(counts, counts):
-        pick = i < j
-        g, i, j = g[pick], offs[g[pick]] + i[pick], offs[g[pick]] + j[pick]
+    """Shape and x of every point where two edges of one shape cross.
+
+    Edges are swept by their left ends: only edges with common x are compared.
+    """
+    shape = np.repeat(np.arange(len(offs) - 1), np.diff(offs))
+    left, right = np.minimum(edge[0], edge[2]), np.maximum(edge[0], edge[2])
+    order = np.lexsort((left, shape))
+    shape, left, right = shape[order], left[order], right[order]
+    partners = np.maximum(places(shape, left, shape, right) - np.arange(len(shape)) - 1, 0)
+    for first, last in bounded(partners):
+        i, rank = spread(partners[first:last])
+        i = i + first
+        g, i, j = shape[i], order[i], order[i + 1 + rank]
         dxi, dyi = edge[2, i] - edge[0, i], edge[3, i] - edge[1, i]
         dxj, dyj = edge[2, j] - edge[0, j], edge[3, j] - edge[1, j]
         bend = dxi * dyj - dyi * dxj
@@ -247,6 +271,8 @@ def overlay_areas(edge, layer, offs, layers):
     """
     n = len(offs) - 1
     shape = np.repeat(np.arange(n), np.diff(offs))
+    if not len(shape):
+        return np.zeros(n)
     found = list(crossings(edge, offs))
     cut_shape = np.concatenate([shape, shape] + [g for g, _ in found])
     cut = np.concatenate([edge[0], edge[2]] + [x for _, x in found])
@@ -256,13 +282,20 @@ def overlay_areas(edge, layer, offs, layers):
     slab = np.flatnonzero((cut_shape[1:] == cut_shape[:-1]) & (width > 1e-12))
     of, mid, width = cut_shape[slab], (cut[slab] + cut[slab + 1]) / 2, width[slab]
     area = np.zeros(n)
-    for s, _, e in combinations(np.ones(len(of), dtype=np.int64), np.diff(offs)[of]):
-        e = offs[of[s]] + e
-        x1, y1, x2, y2 = edge[:, e]
-        spans = (np.minimum(x1, x2) < mid[s]) & (mid[s] < np.maximum(x1, x2))
-        s, e, x1, y1, x2, y2 = s[spans], e[spans], x1[spans], y1[spans], x2[spans], y2[spans]
+    if not len(of):
+        return area
+    # the slabs that each edge spans, and how many edges span each slab
+    first = places(of, mid, shape, np.minimum(edge[0], edge[2]), after=True)
+    last = np.maximum(places(of, mid, shape, np.maximum(edge[0], edge[2])), first)
+    active = np.cumsum(np.bincount(first, minlength=len(of) + 1) - np.bincount(last, minlength=len(of) + 1))[:-1]
+    for low, high in bounded(active):
+        e = np.flatnonzero((first < high) & (last > low))
+        begin = np.maximum(first[e], low)
+        k, rank = spread(np.minimum(last[e], high) - begin)
+        s, e = begin[k] + rank, e[k]
         if not len(s):
             continue
+        x1, y1, x2, y2 = edge[:, e]
         y = y1 + (mid[s] - x1) / (x2 - x1) * (y2 - y1)
         order = np.lexsort((y, s))
         s, e, y, enter = s[order], e[order], y[order], -np.sign(x2 - x1)[order]
@@ -342,10 +375,82 @@ def lit_areas(seg, offs, wall, t0, t1, depth):
 
 
 def common_areas(seg_a, off_a, seg_b, off_b):
-    """Area shared by polygon k of a and polygon k of b."""
+    """Area shared by polygon k of a and polygon k of b. Both are cut to their common range of x."""
+    origin = first_points(seg_a, off_a)
+    parts, offsets = [centred(seg_a, off_a, origin), centred(seg_b, off_b, origin)], [off_a, off_b]
+    boxes = [shape_boxes(*p) for p in zip(parts, offsets)]
+    low, high = np.maximum(boxes[0][0], boxes[1][0]), np.minimum(boxes[0][2], boxes[1][2])
+    cut = [within_x(*p, low, high) for p in zip(parts, offsets)]
+    return overlay_areas(*joined([c[0] for c in cut], [c[1] for c in cut]), 2)
+
+
+def shape_boxes(seg, offs):
+    """xmin, ymin, xmax, ymax of each shape; an empty one has an empty range."""
+    owner, n = np.repeat(np.arange(len(offs) - 1), np.diff(offs)), len(offs) - 1
+    low, high = np.full((2, n), np.inf), np.full((2, n), -np.inf)
+    for axis in (0, 1):
+        np.minimum.at(low[axis], owner, np.minimum(seg[axis], seg[axis + 2]))
+        np.maximum.at(high[axis], owner, np.maximum(seg[axis], seg[axis + 2]))
+    return np.concatenate([low, high])
+
+
+def kept_segments(seg, offs, keep):
+    owner = np.repeat(np.arange(len(offs) - 1), np.diff(offs))
+    return seg[:, keep], starts(np.bincount(owner[keep], minlength=len(offs) - 1))
+
+
+def within_x(seg, offs, low, high):
+    """Segments cut to the range [low, high] of their shape; those outside go."""
+    owner = np.repeat(np.arange(len(offs) - 1), np.diff(offs))
+    low, high = low[owner], high[owner]
+    x1, y1, x2, y2 = seg
+    keep = (np.minimum(x1, x2) < high) & (np.maximum(x1, x2) > low)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        slope = (y2 - y1) / (x2 - x1)
+        a, b = np.clip(x1, low, high), np.clip(x2, low, high)
+        ya, yb = np.where(a == x1, y1, y1 + (a - x1) * slope), np.where(b == x2, y2, y2 + (b - x2) * slope)
+    return kept_segments(np.stack([a, ya, b, yb]), offs, keep)
+
+
+def common_borders(seg_a, off_a, seg_b, off_b, tol):
+    """Length of the walls that polygon k of a and polygon k of b share: parts within ``tol`` of each other.
+
+    Walls are swept by their left ends; only those with a common box are compared.
+    """
     origin = first_points(seg_a, off_a)
-    return overlay_areas(*joined([centred(seg_a, off_a, origin), centred(seg_b, off_b, origin)],
-                                 [off_a, off_b]), 2)
+    edge, layer, offs = joined([centred(seg_a, off_a, origin), centred(seg_b, off_b, origin)], [off_a, off_b])
+    n = len(offs) - 1
+    total = np.zeros(n)
+    shape = np.repeat(np.arange(n), np.diff(offs))
+    left, right = np.minimum(edge[0], edge[2]), np.maximum(edge[0], edge[2]) + tol
+    low, high = np.minimum(edge[1], edge[3]), np.maximum(edge[1], edge[3]) + tol
+    order = np.lexsort((left, shape))
+    shape, left, right = shape[order], left[order], right[order]
+    partners = np.maximum(places(shape, left, shape, right, after=True) - np.arange(len(shape)) - 1, 0)
+    for first, last in bounded(partners):
+        i, rank = spread(partners[first:last])
+        i, j = order[i + first], order[i + first + 1 + rank]
+        meet = (layer[i] != layer[j]) & (low[i] <= high[j]) & (low[j] <= high[i])
+        i, j = i[meet], j[meet]
+        of = np.searchsorted(offs, i, "right") - 1
+        dx, dy = edge[2, i] - edge[0, i], edge[3, i] - edge[1, i]
+        size = np.hypot(dx, dy)
+        some = np.where(size > 0, size, 1.0)
+        along, off = [], []
+        for end in (0, 2):
+            ox, oy = edge[end, j] - edge[0, i], edge[end + 1, j] - edge[1, i]
+            along.append((ox * dx + oy * dy) / some)
+            off.append((ox * dy - oy * dx) / some)
+        begin = np.clip(np.minimum(*along), 0, size)
+        end = np.clip(np.maximum(*along), 0, size)
+        run = along[1] - along[0]
+        slope = np.where(run != 0, (off[1] - off[0]) / np.where(run != 0, run, 1.0), np.inf)
+        close = end > begin
+        with np.errstate(invalid="ignore"):
+            for t in (begin, end):
+                close &= np.abs(off[0] + (t - along[0]) * slope) <= tol
+        total += np.bincount(of[close], (end - begin)[close], n)
+    return total
 
 
 # --- outlines of blocks -----------------------------------------------------------

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from townform.functions.kernels import (
     common_areas, covered_walls, hull_measures, list_sizes, lit_areas, next_segments,
-    outline_chains, polygon_gaps, segments, starts)
+    common_borders, outline_chains, polygon_gaps, segments, starts)
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -122,14 +122,20 @@ def chains(geom: Column, spans: Column) -> Column:
     return measure(geom["rings"], spans)
 
 
-def overlap_area(a: Column, b: Column) -> Column:
-    """Area shared by two polygons; NULL where either is NULL."""
+def overlap_area(a: Column, b: Column, grow: float = 0.0, tol: float = 1e-6) -> Column:
+    """Area shared by two polygons; NULL where either is NULL.
+
+    With ``grow`` both are grown by it along their common border, so polygons that only touch
+    share a strip of twice that width.
+    """
 
     @F.arrow_udf("double")
     def measure(rings_a: pa.Array, rings_b: pa.Array) -> pa.Array:
         seg_a, off_a = segments(rings_a)
         seg_b, off_b = segments(rings_b)
         area = common_areas(seg_a, off_a, seg_b, off_b)
+        if grow:
+            area = area + 2 * grow * common_borders(seg_a, off_a, seg_b, off_b, tol)
         unknown = pc.or_(rings_a.is_null(), rings_b.is_null()).to_numpy(zero_copy_only=False)
         return pa.array(area, pa.float64(), mask=unknown)
 

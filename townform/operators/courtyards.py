@@ -24,6 +24,7 @@ from townform.params import Params
 from townform.session import cut_lineage
 
 BLOCK = ["id_zone", "pk_usr", "pk_block"]
+KEY = ["id_zone", "pk_block"]  # unique, and never NULL where buildings have no unit
 CHAINS_PER_BUILDING = 1 << 24
 NODE_CELL = 1.0
 
@@ -70,9 +71,9 @@ def chain_links(open_chains: DataFrame, p: Params = Params()) -> DataFrame:
     reach = 3 * p.block_buffer
     ends = open_chains.select(*BLOCK, "chain_id", "ex", "ey", "edx", "edy",
                               _spot("ex", "ey", reach / 2).alias("end_box"))
-    begins = open_chains.select(*BLOCK, F.col("chain_id").alias("next_id"), "sx", "sy", "sdx", "sdy",
+    begins = open_chains.select(*KEY, F.col("chain_id").alias("next_id"), "sx", "sy", "sdx", "sdy",
                                 _spot("sx", "sy", reach / 2).alias("start_box"))
-    met = grid_join(ends, begins, "end_box", "start_box", NODE_CELL, BLOCK)
+    met = grid_join(ends, begins, "end_box", "start_box", NODE_CELL, KEY)
     turning = _turning("edx", "edy", "sdx", "sdy")
     # clockwise angle from the reversed arrival; turning straight back comes last
     opening = F.pmod(F.lit(math.pi) - turning, F.lit(2 * math.pi))
@@ -90,8 +91,7 @@ def block_rings(buildings: DataFrame, members: DataFrame, pairs: DataFrame,
     """Rings of the outlines of blocks: signed area (holes positive), length, corner terms."""
     rows = cut_lineage(free_chains(buildings, members, pairs))
     links = cut_lineage(chain_links(rows.where(~F.col("closed")), p))
-    keys = links.withColumn("pk_usr", F.coalesce("pk_usr", F.lit(-1)))
-    ring = (components(keys, ["id_zone", "pk_usr", "pk_block"], "chain_id", "next_id")
+    ring = (components(links, KEY, "chain_id", "next_id")
             .select("id_zone", F.col("node").alias("chain_id"), F.col("root").alias("ring_id")))
     corner = F.when(F.col("turning") > 0, F.tan(F.col("turning") / 2)).otherwise(F.col("turning") / 2)
     parts = (rows.select(*BLOCK, "chain_id", "moment", "length", "corner")

@@ -13,7 +13,7 @@ import sys
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from townform.functions.kernels import list_sizes, polygon_gaps, segments, spread, starts
@@ -22,7 +22,7 @@ from townform.params import Params
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-PARTIAL = ("array<struct<pk: int, n: bigint, total: double, squares: double, least: double, "
+PARTIAL = ("array<struct<pk: bigint, n: bigint, total: double, squares: double, least: double, "
            "greatest: double>>")
 PAIRS = 1 << 20  # building pairs held in memory at once
 
@@ -57,7 +57,7 @@ def tile_pairs(size, tile):
 
 
 def pair_statistics(seg, offs, size, tile):
-    """Partial statistics of every member, over the pairs of its row."""
+    """Partial statistics of every member, over the pairs of its row; squares are of deviations from their mean."""
     n = len(tile)
     count, total, squares = np.zeros(n, dtype=np.int64), np.zeros(n), np.zeros(n)
     least, greatest = np.full(n, np.inf), np.full(n, -np.inf)
@@ -72,9 +72,12 @@ def pair_statistics(seg, offs, size, tile):
         for ends in (i, j):
             count += np.bincount(ends, minlength=n)
             total += np.bincount(ends, dist, n)
-            squares += np.bincount(ends, dist * dist, n)
             np.minimum.at(least, ends, dist)
             np.maximum.at(greatest, ends, dist)
+        # all pairs of these members are in this piece: deviations from their means are final
+        mean = total / np.maximum(count, 1)
+        for ends in (i, j):
+            squares += np.bincount(ends, (dist - mean[ends]) ** 2, n)
     return count, total, squares, least, greatest
 
 
@@ -87,7 +90,7 @@ def _partials(members: Column) -> Column:
         tile = member.field("tile").to_numpy(zero_copy_only=False)
         values = pair_statistics(seg, offs, size, tile)
         rows = pa.StructArray.from_arrays(
-            [member.field("pk"), *[pa.array(v) for v in values]],
+            [member.field("pk").cast(pa.int64()), *[pa.array(v) for v in values]],
             ["pk", "n", "total", "squares", "least", "greatest"])
         return pa.ListArray.from_arrays(pa.array(starts(size).astype(np.int32)), rows)
 
@@ -101,8 +104,13 @@ def building_distances(buildings: DataFrame, p: Params = Params()) -> DataFrame:
             .agg(F.collect_list(F.struct("pk", side.alias("tile"), "rings")).alias("members")))
     partial = (rows.select("id_zone", _partials(F.col("members")).alias("parts"))
                .select("id_zone", F.inline("parts")).where("n > 0"))
-    n, total, squares = F.sum("n"), F.sum("total"), F.sum("squares")
-    spread = F.greatest(squares / n - (total / n) * (total / n), F.lit(0.0))
+    # squares of deviations are merged around the mean of all, never as a difference of large sums;
+    # the window leaves rows dealt as the grouping needs them
+    own = Window.partitionBy("id_zone", "pk")
+    away = F.col("total") / F.col("n") - F.sum("total").over(own) / F.sum("n").over(own)
+    partial = partial.withColumn("squares", F.col("squares") + F.col("n") * away * away)
+    n, total = F.sum("n"), F.sum("total")
+    spread = F.sum("squares") / n
     return partial.groupBy("id_zone", "pk").agg(
         F.min("least").alias("min_dist"), (total / n).alias("mean_dist"),
         F.max("greatest").alias("max_dist"), F.sqrt(spread).alias("std_dist"))

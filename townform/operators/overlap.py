@@ -17,14 +17,15 @@ def max_overlap(left: DataFrame, left_key: str, right: DataFrame, right_key: str
                 grow: float = 0.0) -> DataFrame:
     """``keys``, ``left_key`` and the best ``right_key``; NULL without any candidate.
 
-    Candidates are rows whose boxes, widened by ``grow``, meet. Areas are only computed where
-    there is a choice, of outlines in either direction; a single candidate wins with any overlap. Ties go to the lowest key.
+    Candidates are rows whose boxes meet. Areas, of outlines in either direction and grown by ``grow`` along
+    common borders, are only computed where there is a choice; a single candidate wins with any overlap.
+    Ties go to the lowest key.
     """
     keys = list(keys)
 
     def side(df, key, name):
         return df.select(*keys, F.col(key).alias(f"key_{name}"),
-                         G.expand(G.bbox(F.col("the_geom")), F.lit(grow)).alias(f"box_{name}"))
+                         G.bbox(F.col("the_geom")).alias(f"box_{name}"))
 
     candidates = (grid_join(side(left, left_key, "l"), side(right, right_key, "r"),
                             "box_l", "box_r", size, keys).select(*keys, "key_l", "key_r"))
@@ -35,7 +36,7 @@ def max_overlap(left: DataFrame, left_key: str, right: DataFrame, right_key: str
                                    G.normalize(F.col("the_geom")).alias("geom_l")), [*keys, "key_l"])
                  .join(right.select(*keys, F.col(right_key).alias("key_r"),
                                     G.normalize(F.col("the_geom")).alias("geom_r")), [*keys, "key_r"])
-                 .withColumn("shared", overlap_area(F.col("geom_l"), F.col("geom_r")))
+                 .withColumn("shared", overlap_area(F.col("geom_l"), F.col("geom_r"), grow))
                  # max_by of (area, key) needs the lowest key first: take the least (-area, key)
                  .groupBy(*keys, "key_l")
                  .agg(F.min(F.struct((-F.col("shared")).alias("rank"), "key_r"))["key_r"].alias("key_r")))

@@ -12,7 +12,7 @@ class Params:
     passive_depth: float = 6.005     # depth lit from a free wall (6 m + epsilon)
     road_margin: float = 3.0         # added to the road width
     block_buffer: float = 0.01       # footprints grown by this dissolve into blocks
-    iris_grow: float = 0.0001        # boxes of units and districts are widened by this
+    iris_grow: float = 0.0001        # units and districts are grown by this before they are overlaid
     min_width: float = 0.1           # thinner shapes have no main direction
     srid: int = 2154                 # metric reference system of block outlines
     forest_seed: int = 7

@@ -21,6 +21,7 @@ from townform.schemas import BLOCK_COLUMNS
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK = ["id_zone", "pk_usr", "pk_block"]
+KEY = ["id_zone", "pk_block"]  # unique, and never NULL where buildings have no unit
 POINTS = "array<struct<x: double, y: double>>"
 HULL_SHARE = 1024  # buildings whose vertices are gathered at once
 
@@ -108,7 +109,7 @@ def block_main_dir(buildings: DataFrame, members: DataFrame, p: Params = Params(
     in two rounds, of bounded shares of a block and then of what is left, so a block of any
     size is never gathered whole.
     """
-    sized = members.join(blocks(members), BLOCK)
+    sized = members.join(blocks(members).drop("pk_usr"), KEY)
     share = F.pmod(F.xxhash64("pk"), F.ceil(F.col("members") / HULL_SHARE))
     corners = F.flatten(F.transform(G.exterior_rings(F.col("the_geom"))["rings"], lambda r: r["pts"]))
     pts = buildings.select("id_zone", "pk", corners.alias("pts"))
@@ -134,7 +135,7 @@ def block_indicators(indicators: DataFrame, buildings: DataFrame, members: DataF
     sums = indicators.groupBy(*BLOCK).agg(*_sums(), *_heights(), _compacity())
     yards = courtyards(buildings, members, pairs, p)
     return (sums
-            .join(yards, BLOCK, "left")
-            .join(block_main_dir(buildings, members, p), BLOCK, "left")
+            .join(yards.drop("pk_usr"), KEY, "left")
+            .join(block_main_dir(buildings, members, p).drop("pk_usr"), KEY, "left")
             .withColumns({c: or_zero(F.col(c)) for c in ("holes_area", "holes_percent")})
             .select(*BLOCK_COLUMNS))

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from townform.operators.neighbours import close_pairs
 from townform.params import Params
@@ -51,20 +52,21 @@ def spill(df: DataFrame) -> DataFrame:
 
 
 def compute(inputs: Inputs, codes: I.Codes = None, p: Params = Params(),
-            keep: Callable[[DataFrame], DataFrame] = cut_lineage) -> Results:
+            keep: Callable[[DataFrame], DataFrame] = cut_lineage, require_usr: bool = True) -> Results:
     """Indicators of all communes in ``codes`` that have buildings.
 
     ``keep`` is applied to the tables read more than once: prepared buildings, close pairs and
-    building and block indicators. They go to the shared checkpoint folder, so neither a lost
+    building and block indicators. Without ``require_usr`` buildings of no unit stay. They go to the shared checkpoint folder, so neither a lost
     executor nor a long plan makes them be computed twice; pass ``spill`` to cache instead.
     """
     # partitioned once by the key of all later joins
-    buildings = keep(I.prepare_buildings(inputs.bati, inputs.zones, codes, p).repartition("id_zone", "pk"))
+    buildings = keep(I.prepare_buildings(inputs.bati, inputs.zones, codes, p, require_usr).repartition("id_zone", "pk"))
     catalogue = I.in_codes(I.scan_communes(inputs.zones), "code_insee", codes)
     ready = I.processable_communes(catalogue, buildings)
     usr = I.prepare_usr(inputs.usr, codes).join(ready.select("id_zone"), "id_zone", "left_semi")
     roads = I.prepare_roads(inputs.roads, inputs.zones, codes)
-    outline = I.commune_outline(inputs.zones, codes).join(ready.select("id_zone"), "id_zone", "left_semi")
+    # of several entries of a commune one with buildings gives the outline
+    outline = I.commune_outline(inputs.zones.join(ready.select(F.col("id_zone").alias("ogc_fid")), "ogc_fid", "left_semi"), codes)
     iris = I.prepare_iris(inputs.iris, codes)
     pairs = keep(close_pairs(buildings, p))
     members = B.block_members(buildings, pairs, p)

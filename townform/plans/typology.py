@@ -92,8 +92,11 @@ def train_typology(labelled: DataFrame, p: Params = Params(), trees: int = 100,
 
 def classify_buildings(model: PipelineModel, features: DataFrame) -> DataFrame:
     """Typology of every building; NULL where a predictor is missing."""
-    known = model.transform(_complete(features)).select("id_zone", "pk_building", "typo")
-    return features.join(known, ["id_zone", "pk_building"], "left")
+    values = [F.col(c).cast("double") for c in FEATURES]
+    # one pass: gaps are filled for the forest only, and their rows get no typology
+    rows = features.select(F.struct("*").alias("row"), F.exists(F.array(*values), lambda v: v.isNull()).alias("gap"),
+                           *[F.coalesce(v, F.lit(0.0)).alias(c) for c, v in zip(FEATURES, values)])
+    return model.transform(rows).select("row.*", F.when(~F.col("gap"), F.col("typo")).alias("typo"))
 
 
 def typo_buildings(buildings: DataFrame, typed: DataFrame) -> DataFrame:

@@ -88,11 +88,11 @@ def usr_block_stats(blocks: DataFrame) -> DataFrame:
 
 
 def usr_dist_to_center(usr: DataFrame, communes: DataFrame) -> DataFrame:
-    """Distance from the centre of each unit to the centre of its commune."""
-    centers = communes.select("id_zone", G.centroid(F.col("the_geom")).alias("center"))
-    return (usr.select("id_zone", F.col("pk").alias("pk_usr"),
+    """Distance from the centre of each unit to the centre of its commune, which goes by its code."""
+    centers = communes.select("code_insee", G.centroid(F.col("the_geom")).alias("center"))
+    return (usr.select("id_zone", "code_insee", F.col("pk").alias("pk_usr"),
                        G.centroid(F.col("the_geom")).alias("middle"))
-            .join(centers, "id_zone")
+            .join(centers, "code_insee")
             .select(*UNIT, G.point_distance(F.col("middle"), F.col("center")).alias("dist_to_center")))
 
 

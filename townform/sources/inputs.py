@@ -52,7 +52,7 @@ def lower_names(df: DataFrame) -> DataFrame:
 def scan_communes(zones: DataFrame) -> DataFrame:
     """Catalogue of the communes that have data."""
     return zones.select("code_insee", "unite_urbaine",
-                        F.col("ogc_fid").cast("int").alias("id_zone"))
+                        F.col("ogc_fid").cast("long").alias("id_zone"))
 
 
 def resolve_areas(communes: DataFrame, field: str, values: Sequence[str],
@@ -69,7 +69,7 @@ def prepare_usr(usr: DataFrame, codes: Codes = None) -> DataFrame:
     """Urban units with their area."""
     usr = in_codes(usr, "code_insee", codes)
     return usr.select(
-        F.col("pk").cast("int").alias("pk"), "the_geom", F.col("idzone").cast("int").alias("id_zone"),
+        F.col("pk").cast("long").alias("pk"), "the_geom", F.col("idzone").cast("long").alias("id_zone"), "code_insee",
         *[F.col(c).cast("double").alias(c)
           for c in ("vegetation_surface", "route_surface", "hydro_surface")],
         G.area(F.col("the_geom")).alias("usr_area"),
@@ -107,9 +107,9 @@ def prepare_buildings(bati: DataFrame, zones: DataFrame, codes: Codes = None, p:
             .select(
                 "the_geom",
                 F.col("hauteur").cast("double").alias("hauteur_origin"),
-                F.col("idzone").cast("int").alias("id_zone"),
-                F.col("idilot").cast("int").alias("pk_usr"),
-                F.col("pk").cast("int").alias("pk"),
+                F.col("idzone").cast("long").alias("id_zone"),
+                F.col("idilot").cast("long").alias("pk_usr"),
+                F.col("pk").cast("long").alias("pk"),
                 fixed_levels(F.col("nb_niv").cast("int"), p).alias("nb_niv"),
                 fixed_height(F.col("hauteur_corrigee").cast("double"), p).alias("hauteur"),
                 G.area(geom).alias("area"),
@@ -121,11 +121,14 @@ def prepare_buildings(bati: DataFrame, zones: DataFrame, codes: Codes = None, p:
 
 def prepare_roads(roads: DataFrame, zones: DataFrame, codes: Codes = None) -> DataFrame:
     """Roads once per commune they run in; a border road belongs to both sides."""
-    communes = in_codes(zones.select("code_insee", F.col("ogc_fid").cast("int").alias("id_zone")),
+    communes = in_codes(zones.select("code_insee", F.col("ogc_fid").cast("long").alias("id_zone")),
                         "code_insee", codes)
+    if codes is not None and not isinstance(codes, DataFrame):
+        wanted = [c.strip() for c in codes]
+        roads = roads.where(F.col("inseecom_g").isin(wanted) | F.col("inseecom_d").isin(wanted))
     sides = F.array_distinct(F.array("inseecom_g", "inseecom_d"))
     return (roads
-            .select(F.col("pk").cast("int").alias("pk"), "the_geom",
+            .select(F.col("pk").cast("long").alias("pk"), "the_geom",
                     F.col("largeur").cast("double").alias("largeur"), "inseecom_g", "inseecom_d",
                     F.explode(sides).alias("code_insee"))
             .join(communes, "code_insee")
@@ -135,7 +138,7 @@ def prepare_roads(roads: DataFrame, zones: DataFrame, codes: Codes = None) -> Da
 def commune_outline(zones: DataFrame, codes: Codes = None) -> DataFrame:
     """One outline per commune code: that of the lowest zone number."""
     zones = in_codes(zones, "code_insee", codes)
-    row = F.struct("unite_urbaine", "the_geom", F.col("ogc_fid").cast("int").alias("id_zone"))
+    row = F.struct("unite_urbaine", "the_geom", F.col("ogc_fid").cast("long").alias("id_zone"))
     return (zones.groupBy("code_insee").agg(F.min_by(row, "ogc_fid").alias("row"))
             .select("code_insee", "row.*"))
 

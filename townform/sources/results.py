@@ -9,11 +9,14 @@ from townform.schemas import FINAL_TABLES, documented
 
 
 def as_final(df: DataFrame, table: str) -> DataFrame:
-    """Columns by name in the declared order, under the final key names, with comments."""
+    """Columns by name in the declared order, under the final key names, with comments. None may be missing."""
     columns = FINAL_TABLES[table]
     if "pk" in df.columns and columns[0] != "pk":
         df = df.withColumnRenamed("pk", columns[0])
-    return documented(df.select(*[c for c in columns if c in df.columns]), table)
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"{table} lacks {', '.join(missing)}")
+    return documented(df.select(*columns), table)
 
 
 def write_final(df: DataFrame, path: str, table: str, mode: str = "replace") -> None:
