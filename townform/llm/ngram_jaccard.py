@@ -222,14 +222,17 @@ def forest(nodes: np.ndarray, side: np.ndarray, sets: list[np.ndarray], num: int
     sizes = np.array([len(s) for s in sets])
     order = np.argsort(sizes, kind="stable")
     nodes, side, sizes, sets = nodes[order], side[order], sizes[order], [sets[i] for i in order]
-    rows = np.repeat(np.arange(len(sets)), sizes)
-    _, col, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = count > 1  # a column of one row adds to no overlap
-    keep = shared[col]
-    col, rows = (np.cumsum(shared) - 1)[col[keep]], rows[keep]
+    col = np.concatenate(sets)
     by = np.argsort(col, kind="stable")
-    col, rows = col[by], rows[by]
-    k, total = len(sets), int(shared.sum())
+    col, rows = col[by], np.repeat(np.arange(len(sets), dtype=np.int32), sizes)[by]
+    del by
+    as_before = np.zeros(len(col) + 1, bool)
+    as_before[1:-1] = col[1:] == col[:-1]
+    keep = as_before[:-1] | as_before[1:]  # a column of one row adds to no overlap
+    rows, first = rows[keep], ~as_before[:-1][keep]
+    col = np.cumsum(first, dtype=np.int32) - np.int32(1)
+    k, total = len(sets), int(first.sum())
+    del keep, first, as_before
     step = max(128, CELLS // k)
     counts = np.zeros((k, k), np.float32)
     cut = np.searchsorted(col, np.arange(0, total + step, step))
