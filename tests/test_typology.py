@@ -2,9 +2,12 @@ import pytest
 from pyspark.sql import functions as F
 from shapes_in_town import by_pk
 
+from testbed.city import city
+from townform.plans import chain
 from townform.plans import typology as Y
 from townform.schemas import TYPOLOGIES
 from townform.session import cut_lineage
+from townform.sources import results as S
 
 
 def typed(spark, rows):
@@ -69,6 +72,29 @@ def test_model_round_trip(spark, tmp_path):
     assert a == b
 
 
+def test_chain_with_a_model_writes_typologies(spark, tmp_path):
+    inputs = city(spark, "/root/testdata/sf0.001")
+    r = chain.compute(inputs)
+    features = cut_lineage(Y.typology_features(r.building_indicators, r.block_indicators, r.usr_indicators))
+    middle = features.agg(F.expr("percentile(i_area, 0.5)")).first()[0]
+    labelled = features.withColumn("typo", F.when(F.col("i_area") > middle, "ba").otherwise("pd"))
+    model = Y.train_typology(labelled, trees=1, depth=3)
+    rows = Y.classify_buildings(model, features).collect()
+    assert {x["typo"] for x in rows} == {"ba", "pd"}
+    chain.run_chain(inputs, str(tmp_path), model)
+    written = by_pk(S.read_final(spark, str(tmp_path), "final_building_typo"), "typo", key="pk_building")
+    assert written == {x["pk_building"]: x["typo"] for x in rows}
+    shares: dict[int, dict[str, float]] = {}
+    for x in rows:
+        unit = shares.setdefault(x["pk_usr"], dict.fromkeys(TYPOLOGIES, 0.0))
+        unit[x["typo"]] += x["i_floor"] / x["u_floor"] * 100
+    units = {x["pk_usr"]: x for x in S.read_final(spark, str(tmp_path), "final_usr_typo").collect()}
+    assert set(units) == set(shares)
+    for pk, unit in shares.items():
+        assert [units[pk][t] for t in TYPOLOGIES] == pytest.approx([unit[t] for t in TYPOLOGIES], abs=0.0051)
+        assert units[pk]["typo_maj"] == max(TYPOLOGIES, key=lambda t: unit[t])
+
+
 def test_feature_names_are_complete():
     assert len(Y.FEATURES) == len(set(Y.FEATURES)) == 31 + 8 + 35
     assert len(TYPOLOGIES) == 10
