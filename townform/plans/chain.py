@@ -91,6 +91,8 @@ def run_chain(inputs: Inputs, path: str, model: PipelineModel | None = None, cod
     if model is not None:
         typed = classify_buildings(
             model, typology_features(r.building_indicators, r.block_indicators, r.usr_indicators))
+        # both tables read it: the forest runs once
+        typed = cut_lineage(typed.select("id_zone", "pk_usr", "pk_building", "i_floor", "u_floor", "typo"))
         tables["final_building_typo"] = typo_buildings(r.buildings, typed)
         tables["final_usr_typo"] = typo_usr(r.usr, typed)
     for name, table in tables.items():
