@@ -239,6 +239,33 @@ def test_cross_parse_against_plain_search():
     assert isinstance(got, np.ndarray)
 
 
+def test_scripts_of_many_letters():
+    import numpy as np
+    rng = random.Random(4)
+    latin = [chr(c) for c in (*range(0x61, 0x7b), *range(0xe0, 0xf7))]
+    alphabets = {"aa": latin[:40], "bb": latin[10:], "cc": [chr(c) for c in range(0x101, 0x137, 2)],
+                 "uk": [chr(c) for c in range(0x430, 0x450)], "zh": [chr(c) for c in range(0x4e00, 0x4e00 + 1500)]}
+    words = {k: ["".join(rng.choices(a, k=rng.randrange(2, 6))) for _ in range(150)] for k, a in alphabets.items()}
+    text = lambda k, n: " ".join(rng.choices(words[k], k=n))
+    samples = tuple((k, " ".join(words[k]) + " " + text(k, 150 if k in ("uk", "zh") else 2000)) for k in sorted(words))
+    symbol, steps, starts = language_id.parser(samples)
+    assert len(set(symbol[language_id.codes([t for _, t in samples])[0]].tolist())) > 400  # none is symbol 0
+    texts = [text(k, 30) for k in sorted(words)]
+    points, offsets = language_id.codes(texts)
+    got = language_id.phrases(symbol[points], offsets, steps, starts)
+    assert [sorted(words)[b] for b in got.argmin(0)] == sorted(words)
+    # against plain search in the samples, where every letter is known
+    for k, (_, sample) in enumerate(samples):
+        at = count = 0
+        while at < len(texts[k]):
+            size = 1
+            while texts[k][at:at + size + 1] in sample and at + size < len(texts[k]):
+                size += 1
+            at, count = at + size, count + 1
+        assert got[k, k] == count
+    assert isinstance(got, np.ndarray)
+
+
 def test_language_and_toxicity_on_odd_rows(spark, docs, none):
     from pyspark.sql import functions as F
     fit_on = spark.createDataFrame([(1, "the thing and the other", "en"), (2, "der und die das nicht", "de"), (3, None, "fr"), (4, "x", None)],

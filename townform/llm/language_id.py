@@ -6,7 +6,9 @@ The language that needs the fewest phrases per character wins; equal counts go t
 
 The sample is the fit: at most ``FIT_DOCS`` labelled documents per language, drawn by a hash of the
 identifier, and ``FIT_CHARS`` characters of their text together. It travels with the tasks; every
-worker builds the automata once (about 12 MB per language).
+worker builds the automata once. Every letter of the samples has its own symbol, in any script; the
+transitions of all automata lie in one array, each state's row shifted to where its places are free
+(some 2 MB per language).
 
 Every whole text is parsed. It is cut into blocks of ``BLOCK`` characters, phrases end with their
 block, and all blocks of a batch move through all automata at once, one character per step.
@@ -29,8 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-FIT_DOCS, FIT_CHARS, BLOCK, SYMBOLS, CHARS = 48, 24_000, 1024, 64, 1 << 20
-RESTART = 1 << 30
+FIT_DOCS, FIT_CHARS, BLOCK, CHARS = 48, 24_000, 1024, 1 << 20
+SPARE, TRIES, LOW = 4, 64, (1 << 32) - 1
 RESULT = "doc_id long, held_out boolean, lang_pred string, score double"
 
 
@@ -77,34 +79,62 @@ def suffix_automaton(text: list[int]) -> list[dict[int, int]]:
     return go
 
 
-@lru_cache(maxsize=2)
-def parser(samples: tuple[tuple[str, str], ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbol of each code point, one step table for all languages, and the languages' start states.
+def placed(automata: list[list[dict[int, int]]], symbols: int) -> tuple[np.ndarray, list[list[int]]]:
+    """One array of all transitions, and the names of the states of each automaton.
 
-    Symbol 0 is an unknown letter. A step that ends a phrase has the bit ``RESTART`` set.
+    A state is named by the shift of its row: its step by symbol c lies at name + c, as name << 32 | next
+    name. Names are unique, so an entry of another state is told apart. Rows with many steps come first;
+    a row that fits nowhere in ``TRIES`` drawn shifts goes behind the end.
     """
-    points, _ = codes([text for _, text in samples])
-    seen, count = np.unique(points, return_counts=True)
-    symbol = np.zeros(0x110000, np.uint8)
-    frequent = seen[np.argsort(-count, kind="stable")][:SYMBOLS - 1]
-    symbol[frequent] = np.arange(1, len(frequent) + 1)
-    tables, starts, base = [], [], 0
-    for _, text in samples:
-        go = suffix_automaton(symbol[codes([text])[0]].tolist())
-        table = np.full((len(go), SYMBOLS), -1, np.int64)
+    size = symbols + SPARE * sum(len(moves) for go in automata for moves in go)
+    taken, names, draw, end = bytearray(size + symbols + 1), set(), 1, size
+    name = [[0] * len(go) for go in automata]
+    for k, state in sorted(((k, i) for k, go in enumerate(automata) for i in range(len(go))), key=lambda r: -len(automata[r[0]][r[1]])):
+        moves = automata[k][state]
+        for _ in range(TRIES):
+            draw = (draw * 6364136223846793005 + 1442695040888963407) & 0xFFFFFFFFFFFFFFFF
+            at = (draw >> 32) % end
+            if at not in names and not any(taken[at + c] for c in moves):
+                break
+        else:
+            at, end = end + symbols, end + 2 * symbols + 1
+            taken.extend(bytes(end + symbols + 1 - len(taken)))
+        names.add(at)
+        name[k][state] = at
+        for c in moves:
+            taken[at + c] = 1
+    table = np.full(len(taken), -1, np.int64)
+    for k, go in enumerate(automata):
         for state, moves in enumerate(go):
             for c, to in moves.items():
-                if c:
-                    table[state, c] = to
-        again = np.where(table[0] < 0, 0, table[0])
-        tables.append(np.where(table < 0, (again + base) | RESTART, table + base).astype(np.int32))
-        starts.append(base)
-        base += len(go)
-    return symbol, np.concatenate(tables).ravel(), np.array(starts, np.int32)
+                table[name[k][state] + c] = name[k][state] << 32 | name[k][to]
+    return table, name
+
 
+@lru_cache(maxsize=2)
+def parser(samples: tuple[tuple[str, str], ...]) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """Symbol of each code point, the steps of all languages, and the languages' start states.
 
-def phrases(symbols: np.ndarray, offsets: np.ndarray, table: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    Symbol 0 is a letter that no sample has. The steps are the array of ``placed`` and, for each language
+    and symbol, the state in which the next phrase begins.
+    """
+    points, _ = codes([text for _, text in samples])
+    seen, count = np.unique(points, return_counts=True)
+    symbol = np.zeros(0x110000, np.int32)
+    symbol[seen[np.argsort(-count, kind="stable")]] = np.arange(1, len(seen) + 1)
+    automata = [suffix_automaton(symbol[codes([text])[0]].tolist()) for _, text in samples]
+    table, name = placed(automata, len(seen))
+    again = np.empty((len(automata), len(seen) + 1), np.int64)
+    for k, go in enumerate(automata):
+        again[k] = name[k][0]
+        for c, to in go[0].items():
+            again[k, c] = name[k][to]
+    return symbol, (table, again), np.array([n[0] for n in name], np.int64)
+
+
+def phrases(symbols: np.ndarray, offsets: np.ndarray, steps: tuple[np.ndarray, np.ndarray], starts: np.ndarray) -> np.ndarray:
     """Phrases that each language (row) needs for each text (column)."""
+    table, again = steps
     n = len(offsets) - 1
     lengths = np.diff(offsets)
     pieces = -(-lengths // BLOCK)
@@ -118,9 +148,11 @@ def phrases(symbols: np.ndarray, offsets: np.ndarray, table: np.ndarray, starts:
     live = len(row)
     for t in range(int(size[0]) if live else 0):
         live = int(np.searchsorted(-size[:live], -t, "left"))
-        step = table[state[:, :live] * SYMBOLS + symbols[begin[:live] + t]]
-        count[:, :live] += step >> 30
-        state[:, :live] = step & (RESTART - 1)
+        here, symbol = state[:, :live], symbols[begin[:live] + t]
+        step = table[here + symbol]
+        ends = step >> 32 != here
+        count[:, :live] += ends
+        state[:, :live] = np.where(ends, again[:, symbol], step & LOW)
     count += 1  # the phrase at hand
     total = np.zeros((len(starts), n), np.int64)
     for k in range(len(starts)):
@@ -132,7 +164,7 @@ def _judge(samples: tuple[tuple[str, str], ...]):
     names = [name for name, _ in samples]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbol, table, starts = parser(samples) if names else (None, None, None)
+        symbol, steps, starts = parser(samples) if names else (None, None, None)
         for batch in batches:
             ids, held, texts = batch.column(0).cast(pa.int64()), batch.column(1), batch.column(2).to_pylist()
             begin = 0
@@ -144,7 +176,7 @@ def _judge(samples: tuple[tuple[str, str], ...]):
                 points, offsets = codes([t or "" for t in texts[begin:end]])
                 lettered = np.diff(np.concatenate([[0], np.cumsum(points != 32)])[offsets]) > 0
                 if names:
-                    total = phrases(symbol[points], offsets, table, starts)
+                    total = phrases(symbol[points], offsets, steps, starts)
                     best = total.argmin(0)
                     share = 1 / np.exp(np.clip(total.min(0) - total, -50, 0)).sum(0)
                 else:
