@@ -86,6 +86,48 @@ def test_repeated_strings(docs, rows):
     assert sorted(map(tuple, repeats.without_repeats(docs).collect()), key=str) == sorted(want, key=str)
 
 
+def test_passage_in_thousands_of_documents(spark, monkeypatch):
+    import pyarrow as pa
+    rng = random.Random(8)
+    passage = prose(rng, 90).encode()
+    texts = [b"%s %s %s" % (prose(rng, 60).encode(), passage, prose(rng, 60).encode()) for _ in range(3000)]
+    texts += [b"%s %s" % (t[-260:], prose(rng, 50).encode()) for t in texts[:20]] + [t[100:700] for t in texts[20:40]]
+    rows = [(i, t.decode()) for i, t in enumerate(texts)]
+    seen = Counter(t[s:s + 200] for t in texts for s in range(len(t) - 199))
+    want = {}
+    for i, t in enumerate(texts):
+        gone = bytearray(len(t))
+        for s in range(len(t) - 199):
+            if seen[t[s:s + 200]] > 1:
+                gone[s:s + 200] = b"\1" * 200
+        want[i] = (sum(gone), hashlib.sha256(bytes(b for b, g in zip(t, gone) if not g)).hexdigest())
+    shipped, cut = [], repeats._cut_snippets
+
+    def counting(*how):  # runs in this process as well, to see what would go to one group
+        shipped.append(how)
+        return cut(*how)
+
+    monkeypatch.setattr(repeats, "_cut_snippets", counting)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = repeats.without_repeats(docs).collect()
+    assert {r.doc_id: (r.n_removed, r.kept_sha256) for r in got} == want
+    names = pa.array(range(len(texts)), pa.int64())
+    found = list(repeats._find_anchors(8)(iter([pa.RecordBatch.from_arrays([names, pa.array(texts, pa.binary())], ["node", "text"])])))
+    marks = defaultdict(list)
+    for batch in repeats._flag_anchors(iter(found)):
+        for node, m in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            marks[node].append(m)
+    batch = pa.RecordBatch.from_arrays([names, pa.array(texts, pa.binary()), pa.array([marks[i] for i in range(len(texts))], pa.list_(pa.binary()))],
+                                       ["node", "text", "marks"])
+    keys = Counter()
+    for out in cut(*shipped[0])(iter([batch])):
+        for kind, payload in zip(out.column(0).to_pylist(), out.column(4).to_pylist()):
+            if kind == repeats.ANCHOR:
+                n = int.from_bytes(payload[:8], "little")
+                keys.update(repeats.np.frombuffer(payload[8:8 + n * repeats.SNIPPET.itemsize], repeats.SNIPPET)["key"].tolist())
+    assert keys and max(keys.values()) <= 2048
+
+
 def test_exact_groups(docs, rows):
     groups = defaultdict(list)
     for i, t, _ in rows:

@@ -16,10 +16,13 @@
 4. *Exact check.* A 200-byte string holds 9 whole symbols; strings of an interval are compared by the
    fingerprint of their 200 bytes at each of the ``BLOCK`` offsets before the symbol.
 
-Equal snippets of one batch are settled there and go on as one, and so do equal anchors, so a
-passage in a third of all documents is one row per batch. Copies of a whole text are removed whole
-and stand for each other as one text. Buckets are read one after the other; a bucket grows with what
-shares its anchors, not with the corpus.
+Equal snippets of one batch are settled there and go on as one, and so do equal anchors, so the inside
+of a passage in a third of all documents is one row per batch. At its ends every document has a snippet
+of its own under the same anchor: an anchor that more than ``HOT`` places share is not transformed.
+Its 200-byte strings go by their fingerprints, settled within the batch and then spread over all
+tasks, so its documents do not meet in one. Only the keys of such anchors (8 bytes each) pass the driver.
+Copies of a whole text are removed whole and stand for each other as one text. Buckets are read one
+after the other; a bucket grows with what shares its anchors, not with the corpus.
 
 Cases: a null text is empty; texts below 200 bytes lose nothing. Repeated rows are copies. A null
 identifier is reported like any other. Empty tables give empty results; other columns do not matter.
@@ -41,7 +44,8 @@ from townform.llm.words import prefix_sums, slice_prints, text_slices
 LENGTH, GRAMS, GRAM, BLOCK = 200, 141, 24, 20
 COMMON = LENGTH - GRAMS + 1
 DEPTH = LENGTH // BLOCK - 1
-ANCHOR, FLAG = 0, 1
+HOT, PRINT_BUCKETS = 2048, 8
+ANCHOR, FLAG, PRINT = 0, 1, 2
 SHIPPED = "kind int, bucket int, node long, payload binary"
 SNIPPETS = "kind int, bucket int, shard long, node long, payload binary"
 MARKS = "node long, marks binary"
@@ -95,7 +99,7 @@ def _rows(kind: int, bucket, node, payload) -> pa.RecordBatch:
                                        pa.array(payload, pa.binary())], ["kind", "bucket", "node", "payload"])
 
 
-OCCURRENCE = np.dtype([("key", "<u8"), ("node", "<i8"), ("at", "<i4")])
+OCCURRENCE = np.dtype([("key", "<u8"), ("node", "<i8"), ("at", "<i4"), ("places", "<i4")])
 
 
 def _find_anchors(buckets: int):
@@ -116,7 +120,7 @@ def _find_anchors(buckets: int):
                     nodes, payload = _by_node(names[row[again]], at[again])
                     yield _rows(FLAG, (nodes.view(np.uint64) % np.uint64(buckets)).astype(np.int32), nodes, payload)
                 one = np.empty(len(first), OCCURRENCE)
-                one["key"], one["node"], one["at"] = key[first], names[row[first]], at[first]
+                one["key"], one["node"], one["at"], one["places"] = key[first], names[row[first]], at[first], count
                 home = (one["key"] >> np.uint64(40)) % np.uint64(buckets)
                 order = np.argsort(home, kind="stable")
                 cut = np.searchsorted(home[order], np.arange(buckets + 1))
@@ -127,13 +131,15 @@ def _find_anchors(buckets: int):
 
 
 def _flag_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Anchors whose common bytes occur more than once, by text."""
+    """Anchors whose common bytes occur more than once, by text; without a text the keys of hot anchors."""
     def flags(parts: list[bytes]) -> pa.RecordBatch:
         all_of = np.unique(np.concatenate([np.frombuffer(p, OCCURRENCE) for p in parts]))
-        _, which, count = np.unique(all_of["key"], return_inverse=True, return_counts=True)
+        keys, which, count = np.unique(all_of["key"], return_inverse=True, return_counts=True)
         again = all_of[count[which] > 1]
         nodes, payload = _by_node(again["node"], again["at"])
-        return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(payload, pa.binary())], ["node", "marks"])
+        hot = keys[np.bincount(which, all_of["places"], len(keys)) > HOT]
+        return pa.RecordBatch.from_arrays([pa.array([*nodes.tolist(), *[None] * bool(len(hot))], pa.int64()),
+                                           pa.array([*payload, *[hot.tobytes()] * bool(len(hot))], pa.binary())], ["node", "marks"])
 
     bucket, parts = None, []
     for batch in batches:
@@ -154,8 +160,11 @@ def _flag_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 SNIPPET = np.dtype([("key", "<u8"), ("node", "<i8"), ("at", "<i4"), ("offset", "<i4"), ("size", "<i4")])
 
 
-def _cut_snippets(buckets: int):
-    """Snippets of flagged anchors, packed by bucket; what one batch settles itself goes on as marks."""
+PLACED = np.dtype([("print", "<u8"), ("node", "<i8"), ("at", "<i4")])
+
+
+def _cut_snippets(buckets: int, hot: np.ndarray):
+    """Snippets of flagged anchors and the strings of hot ones, packed by bucket; what one batch settles itself goes on as marks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = 0
         for batch in batches:
@@ -179,8 +188,14 @@ def _cut_snippets(buckets: int):
                     nodes, payload = _by_node(names[row[again]], spans)
                     yield _snippet_rows(FLAG, (nodes.view(np.uint64) % np.uint64(buckets)).astype(np.int32), 0, nodes, payload)
                 row, place, low, high = row[first], place[first], low[first], high[first]
+                key = slice_prints(sums, place, place + COMMON)
+                if len(hot) and (many := np.isin(key, hot)).any():
+                    yield from _hot_strings(buckets, names, offsets, sums, row[many], low[many], high[many])
+                    row, place, low, high, key = row[~many], place[~many], low[~many], high[~many], key[~many]
+                    if not len(row):
+                        continue
                 one = np.empty(len(row), SNIPPET)
-                one["key"], one["node"] = slice_prints(sums, place, place + COMMON), names[row]
+                one["key"], one["node"] = key, names[row]
                 one["at"], one["offset"], one["size"] = low - offsets[row], place - low, high - low + LENGTH
                 home = (one["key"] >> np.uint64(40)) % np.uint64(buckets)
                 order = np.argsort(home, kind="stable")
@@ -197,6 +212,28 @@ def _cut_snippets(buckets: int):
     return run
 
 
+def _hot_strings(buckets: int, names: np.ndarray, offsets: np.ndarray, sums: np.ndarray, row: np.ndarray,
+                 low: np.ndarray, high: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One place of each string of hot anchors, by bucket of its fingerprint, and marks where the batch repeats it."""
+    size = high - low + 1
+    start = np.repeat(low - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    row = np.repeat(row, size)
+    prints = slice_prints(sums, start, start + LENGTH)
+    _, first, which, count = np.unique(prints, return_index=True, return_inverse=True, return_counts=True)
+    again = count[which] > 1
+    if again.any():
+        nodes, payload = _by_node(*runs(names[row[again]], (start - offsets[row])[again]))
+        yield _snippet_rows(FLAG, (nodes.view(np.uint64) % np.uint64(buckets)).astype(np.int32), 0, nodes, payload)
+    one = np.empty(len(first), PLACED)
+    one["print"], one["node"], one["at"] = prints[first], names[row[first]], (start - offsets[row])[first]
+    lots = PRINT_BUCKETS * buckets
+    home = (one["print"] >> np.uint64(32)) % np.uint64(lots)
+    order = np.argsort(home, kind="stable")
+    cut = np.searchsorted(home[order], np.arange(lots + 1))
+    one, some = one[order], np.flatnonzero(np.diff(cut))
+    yield _snippet_rows(PRINT, some + buckets, 0, pa.nulls(len(some), pa.int64()), [one[cut[b]:cut[b + 1]].tobytes() for b in some])
+
+
 def _snippet_rows(kind: int, bucket, shard: int, node, payload) -> pa.RecordBatch:
     plain = _rows(kind, bucket, node, payload)
     return pa.RecordBatch.from_arrays([plain.column(0), plain.column(1), pa.array(np.full(len(payload), shard), pa.int64()), plain.column(2),
@@ -282,7 +319,11 @@ def repeated_starts(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndar
     inside = (starts >= base[owner]) & (starts + LENGTH <= base[owner] + size[owner])
     starts, owner = starts[inside], owner[inside]
     node, offset = snippets["node"][owner], snippets["at"][owner] + starts - base[owner]
-    prints = slice_prints(sums, starts, starts + LENGTH)
+    return twice(slice_prints(sums, starts, starts + LENGTH), node, offset)
+
+
+def twice(prints: np.ndarray, node: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Node and start of the strings whose fingerprint stands at two places."""
     # a text that several batches sent counts once
     by = np.lexsort((offset, node, prints))
     prints, node, offset = prints[by], node[by], offset[by]
@@ -292,8 +333,8 @@ def repeated_starts(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndar
     new = np.ones(len(prints), bool)
     new[1:] = prints[1:] != prints[:-1]
     group = np.cumsum(new) - 1
-    twice = np.bincount(group)[group] > 1 if len(group) else new
-    return node[twice], offset[twice]
+    again = np.bincount(group)[group] > 1 if len(group) else new
+    return node[again], offset[again]
 
 
 def runs(node: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -314,25 +355,30 @@ def _merge_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         end = 8 + n * SNIPPET.itemsize
         return np.frombuffer(payload[8:end], SNIPPET), np.frombuffer(payload, np.uint8, offset=end)
 
-    def marks(parts: list[bytes]) -> pa.RecordBatch:
-        node, spans = runs(*repeated_starts([unpack(p) for p in parts]))
+    def marks(kind: int, parts: list[bytes]) -> pa.RecordBatch:
+        if kind == PRINT:
+            strings = np.concatenate([np.frombuffer(p, PLACED) for p in parts])
+            found = twice(strings["print"], strings["node"], strings["at"].astype(np.int64))
+        else:
+            found = repeated_starts([unpack(p) for p in parts])
+        node, spans = runs(*found)
         nodes, payload = _by_node(node, spans) if len(node) else (node, [])
         return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(payload, pa.binary())], ["node", "marks"])
 
-    bucket, parts = None, []
+    bucket, sort, parts = None, ANCHOR, []
     for batch in batches:
         kind = batch.column(0).to_numpy()
         passed = batch.filter(pa.array(kind == FLAG))
         yield pa.RecordBatch.from_arrays([passed.column(3), passed.column(4)], ["node", "marks"])
-        own = batch.filter(pa.array(kind == ANCHOR))
-        for b, payload in zip(own.column(1).to_pylist(), own.column(4).to_pylist()):
+        own = batch.filter(pa.array(kind != FLAG))
+        for k, b, payload in zip(own.column(0).to_pylist(), own.column(1).to_pylist(), own.column(4).to_pylist()):
             if b != bucket and parts:
-                yield marks(parts)
+                yield marks(sort, parts)
                 parts = []
-            bucket = b
+            bucket, sort = b, k
             parts.append(payload)
     if parts:
-        yield marks(parts)
+        yield marks(sort, parts)
 
 
 def covered(size: int, marks: list[bytes]) -> np.ndarray:
@@ -369,12 +415,15 @@ def marked_texts(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tu
     flags = (rows.select("node", "text").mapInArrow(_find_anchors(buckets), SHIPPED).repartition(width(spark), "bucket")
              .sortWithinPartitions("bucket").mapInArrow(_flag_anchors, MARKS))
     flags = staged(flags.where("marks IS NOT NULL"), "flags")
+    hot = [np.frombuffer(r["marks"], np.uint64) for r in flags.where("node IS NULL").select("marks").collect()]
+    hot = np.unique(np.concatenate([np.zeros(0, np.uint64), *hot]))
+    flags = flags.where("node IS NOT NULL")
     # one row of each text carries it on; copies have keys of their own in this join
     ask = facts.groupBy("node").agg(F.min(F.struct(F.coalesce(F.col("doc").cast("string"), F.lit("")).alias("d"))).alias("one"))
     ask = flags.groupBy("node").agg(F.collect_list("marks").alias("marks")).join(ask, "node").select("node", F.col("one.d").alias("d"), "marks")
     texts = rows.withColumn("d", F.coalesce(F.col("doc").cast("string"), F.lit(""))).drop("doc").join(ask, ["node", "d"])
     texts = staged(texts.select("node", "text", "marks"), "texts")
-    marks = (texts.mapInArrow(_cut_snippets(buckets), SNIPPETS).repartition(width(spark), "bucket")
+    marks = (texts.mapInArrow(_cut_snippets(buckets, hot), SNIPPETS).repartition(width(spark), "bucket")
              .sortWithinPartitions("bucket", "shard").mapInArrow(_merge_shards, MARKS))
     marks = staged(marks.where("marks IS NOT NULL"), "marks").groupBy("node").agg(F.collect_list("marks").alias("marks"))
     return facts, texts.select("node", "text").dropDuplicates(["node"]).join(marks, "node")
