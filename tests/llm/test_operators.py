@@ -171,6 +171,22 @@ def test_fit_counts_is_best():
         assert budget - sum(n * t for n, t in zip(lengths, take)) <= max(lengths)
 
 
+def test_fit_counts_against_all_sums():
+    rng = random.Random(3)
+    cases = [([200_000 + i for i in range(10)], [1] * 10, 1_030_000), ([7, 10], [3, 4], 34), ([0, 6, 10], [5, 3, 4], 33)]
+    for k in range(60):
+        lengths = sorted(rng.sample(range(1, 40) if k % 2 else range(100_000, 400_000), 5))
+        counts = [rng.randrange(1, 4) for _ in lengths]
+        cases.append((lengths, counts, rng.randrange(sum(n * c for n, c in zip(lengths, counts)))))
+    for lengths, counts, budget in cases:
+        sums = {0}
+        for n, c in zip(lengths, counts):
+            sums = {s + k * n for s in sums for k in range(c + 1)}
+        take = mixing.fit_counts(lengths, counts, budget)
+        assert all(0 <= x <= c for x, c in zip(take, counts))
+        assert sum(n * x for n, x in zip(lengths, take)) == max(s for s in sums if s <= budget)
+
+
 @pytest.mark.parametrize("most", [1 << 20, 60])
 def test_contamination(spark, docs, rows, most):
     rng = random.Random(9)

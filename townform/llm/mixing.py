@@ -3,7 +3,9 @@
 Documents are counted by source and exact length in words. A source's target gives whole passes
 over it and a rest; the rest is fitted on the length counts: an even share of every length first,
 then, for what is left, large lengths down to ``EXACT`` words and dynamic programming over the
-bounded counts below that. Which documents of a length are taken is drawn by a seeded hash of the
+bounded counts for all that remains. If that misses the budget, more and more is left to the dynamic
+programming, until the budget is met, all of it is exact (then no choice is nearer), or its bit sets
+would exceed ``BITS``; the miss is then below the shortest document left. Which documents of a length are taken is drawn by a seeded hash of the
 identifier. Lengths, not documents, meet in one task: there are at most as many as the longest
 document has words. Only one row per source passes the driver.
 
@@ -18,6 +20,7 @@ draws like any other. Empty tables give empty results.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import gcd
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -28,6 +31,7 @@ from townform.llm.tables import staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 EXACT = 1 << 16
+BITS = 1 << 31
 BUCKET = 1024
 
 
@@ -52,26 +56,47 @@ def targets(sizes: Sequence[int], weights: Sequence[float], total: float, most:
 def fit_counts(lengths: Sequence[int], counts: Sequence[int], budget: int) -> list[int]:
     """How many documents of each length to take so that the words come as near below ``budget`` as they can.
 
-    The last ``EXACT`` words are fitted by dynamic programming, bit sets of reachable sums.
+    The last words are fitted by dynamic programming, bit sets of reachable sums: ``EXACT`` of them, and
+    more as long as the budget is missed and the bit sets stay below ``BITS``.
     """
     total = sum(n * c for n, c in zip(lengths, counts))
     if total <= budget:
         return list(counts)
-    take = [c * budget // total for c in counts]
+    unit = gcd(*lengths) or 1
+    lengths, budget, total = [n // unit for n in lengths], budget // unit, total // unit
+    even = [c * budget // total for c in counts]
+    best, most, back, spare = None, -1, 0, EXACT
+    while True:
+        start = [max(0, t - back) for t in even]
+        take = _filled(lengths, counts, start, budget, spare, best is None)
+        if take is None:
+            return best
+        words = sum(n * t for n, t in zip(lengths, take))
+        if words > most:
+            best, most = take, words
+        if most == budget or (spare >= budget and not any(start)):
+            return best
+        back, spare = 2 * back + 1, 2 * spare
+
+
+def _filled(lengths: Sequence[int], counts: Sequence[int], start: Sequence[int], budget: int, spare: int, always: bool) -> list[int] | None:
+    """``start``, large lengths down to ``spare`` words, and the best of the rest; None if that exceeds ``BITS``, unless ``always``."""
+    take = list(start)
     rest = budget - sum(n * t for n, t in zip(lengths, take))
     order = sorted((i for i in range(len(lengths)) if 0 < lengths[i] and take[i] < counts[i]), key=lambda i: -lengths[i])
     for i in order:
-        if rest > EXACT:
-            more = min(counts[i] - take[i], (rest - EXACT) // lengths[i])
+        if rest > spare:
+            more = min(counts[i] - take[i], (rest - spare) // lengths[i])
             take[i] += more
             rest -= more * lengths[i]
-    goal = min(rest, EXACT * 2)
-    reach, steps, mask = 1, [], (1 << (goal + 1)) - 1
+    reach, steps, mask = 1, [], (1 << (rest + 1)) - 1
     for i in order:
-        left, part = min(counts[i] - take[i], goal // lengths[i]), 1
-        while left and not reach >> goal & 1:
+        left, part = min(counts[i] - take[i], rest // lengths[i]), 1
+        while left and not reach >> rest & 1:
             part = min(part, left)
             steps.append((reach, i, part))
+            if not always and len(steps) * rest > BITS:
+                return None
             reach |= reach << (part * lengths[i]) & mask
             left, part = left - part, part * 2
     at = reach.bit_length() - 1
