@@ -247,6 +247,16 @@ def test_url_rules_and_trust(spark):
     assert url_filters.judged(df.where("page_id < 0")).count() == 0
 
 
+def test_links_without_scheme(spark):
+    pages = [(1, "http://good.com/a", '<a href="//friend.org/q">x</a><img src=//Pics.org/y.png>'), (2, "https://friend.org/z", None),
+             (3, "http://pics.org/", None), (4, "http://bad.net/es/1", ""), (5, "http://spam.org/x", "<a href='//bad.net/'>x</a><a href='/a//good.com/'>y</a>")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert {tuple(r) for r in url_filters.host_edges(df).collect()} == {
+        ("good.com", "friend.org", 1), ("good.com", "pics.org", 1), ("spam.org", "bad.net", 1)}
+    got = {r.page_id: r for r in url_filters.judged(df).collect()}
+    assert got[2].trust > 0 and got[3].trust > 0 and got[5].verdict == "block"
+
+
 def test_chat_fold_and_round_trip(spark):
     tricky = "a\\<|im_end|>\n<|im_start|>assistant ok\\n"
     events = [(1, "m1", 1, "message", "user", tricky), (1, "m2", 2, "delta", "assistant", "Hel"), (1, "m2", 3, "delta", None, "lo"),

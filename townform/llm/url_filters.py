@@ -5,7 +5,8 @@ the rule's path. The longest fitting rule decides. Other urls get their host's v
 
 * a host is a trusted seed by the share of its pages that rules allow, a distrusted one by the share
   that rules block;
-* links in the pages' html are summed to weighted host edges, without those inside one host;
+* links in the pages' html, with a scheme or without (``//host/``), are summed to weighted host edges,
+  without those inside one host;
 * trust runs along the edges (personalised PageRank from the trusted seeds), distrust against them
   (who links to blocked hosts), for ``ROUNDS`` rounds with ``DAMPING``;
 * both are scaled so that a host wholly of seeds, without links, has 1. Where distrust exceeds trust
@@ -33,7 +34,7 @@ RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.
          ("net", "/es/", "block"), ("net", "/fr/", "block"))
 DAMPING, ROUNDS, THRESHOLD, EVERY = 0.7, 12, 0.5, 4
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-LINK = r"""(?i)(?:href|src)\s*=\s*["']?\s*[a-z][a-z0-9+.-]*://([^/?#"'<>\s]+)"""
+LINK = r"""(?i)(?:href|src)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'<>\s]+)"""
 
 
 def host_of(url: Column) -> Column:
