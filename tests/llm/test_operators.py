@@ -284,6 +284,20 @@ def test_spellings_one_edit_away():
         b"moron": 2, b"morn": 1, b"moroon": 1, b"maron": 1, b"morons": 1, b"bad": 2, b"loweiung": 2}
 
 
+def test_long_quotations():
+    import numpy as np
+    auto = toxicity.machine([b"moron"], [])
+    fill = "some plain words " * 30
+    texts = [f'he said "{fill} moron {fill}" and {m} moron {fill}' for m in ("then", "so")]
+    texts += [f"\u201c{fill} moron {fill}\u201d moron", f"\u201e{fill} moron \u201c moron", f"\u00ab {fill} moron {fill} \u00bb moron",
+              f'a board of 5" {fill}\n \n moron moron "{fill} moron"', f"moron {fill}", '"', "moron"]
+    data = [x.encode() for x in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(d) for d in data])])
+    got = np.rint(np.expm1(toxicity.features(np.frombuffer(b"".join(data), np.uint8), offsets, auto))).astype(int)
+    assert got[:, 0].tolist() == [1, 1, 1, 1, 1, 2, 1, 0, 1]
+    assert got[:, 2].tolist() == [1, 1, 1, 1, 1, 1, 0, 0, 0]
+
+
 def test_cross_parse_against_plain_search():
     import numpy as np
     rng = random.Random(2)

@@ -9,8 +9,9 @@ Search: the trie of the lexicon and, for whole words of ``FUZZY`` bytes or more,
 spellings one edit away are one nondeterministic machine, made deterministic once. All words of a
 batch run through its table together, one byte per step; most are dead after a few bytes.
 
-Context: a hit counts less inside a quotation (an odd number of quotation marks in the ``BEFORE``
-bytes ahead of it), and hits within ``NEAR`` words of each other add up to a window score, so abuse
+Context: a hit counts less inside a quotation (an odd number of quotation marks of a kind ahead of it in
+its paragraph, however long; the kinds are the straight, the curly and the angle marks, and a paragraph
+begins behind a blank line, where quotations that go on are opened anew), and hits within ``NEAR`` words of each other add up to a window score, so abuse
 in a row weighs more than a word that is quoted.
 
 Every whole text is scored. Cases: a null or empty text has no hits and gets the score of such
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from townform.llm.tables import staged
 from townform.llm.words import ALNUM, NOT_BLANK, mix, split_words, text_slices, window_prints
 
-FIT_ROWS, TERMS, FUZZY, BEFORE, NEAR = 20_000, 400, 5, 200, 20
+FIT_ROWS, TERMS, FUZZY, NEAR = 20_000, 400, 5, 20
 MIN_DOCS, MIN_SHARE, PURITY = 6, 0.02, 0.97
 APART = 0.7
 STEMS = (4, 5, 6)
@@ -150,13 +151,29 @@ def machine(words: list[bytes], stems: list[bytes], fuzzy: int = FUZZY, edits: i
     return Machine(classes, np.array(rows, np.int64), np.array(ends, np.int8), np.array([*stem, False], bool))
 
 
+def in_quotation(buf: np.ndarray, offsets: np.ndarray, place: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Whether a quotation is open at each place."""
+    ends = np.flatnonzero(buf == 0x0A)
+    solid = np.concatenate([[0], np.cumsum(NOT_BLANK[buf])])
+    breaks = ends[1:][solid[ends[1:]] == solid[ends[:-1]]]  # nothing but blanks since the last line's end
+    opened = np.concatenate([[0], breaks + 1])
+    begin = np.maximum(offsets[row], opened[np.searchsorted(opened, place, "right") - 1])
+    one, two = np.append(buf[1:], [0]), np.append(buf[2:], [0, 0])[:len(buf)]
+    curly = (buf == 0xE2) & (one == 0x80) & (two >= 0x9C) & (two <= 0x9F)
+    angle = (buf == 0xC2) & ((one == 0xAB) | (one == 0xBB))
+    quoted = np.zeros(len(place), bool)
+    for kind in (buf == 0x22, curly, angle):
+        marks = np.concatenate([[0], np.cumsum(kind)])
+        quoted |= (marks[place] - marks[begin]) % 2 == 1
+    return quoted
+
+
 def features(buf: np.ndarray, offsets: np.ndarray, auto: Machine) -> np.ndarray:
     """Of each text: hits outside quotations, misspelled ones, quoted ones, the best window score (all as log(1 + x))."""
     words = split_words(buf, offsets, ALNUM, prints=False)
     which, how = auto.spot(words.buf, words.starts, words.ends)
     n, row, place = len(offsets) - 1, words.row[which], words.starts[which]
-    marks = np.concatenate([[0], np.cumsum(words.buf == 0x22)])
-    quoted = (marks[place] - marks[np.maximum(place - BEFORE, offsets[row])]) % 2 == 1
+    quoted = in_quotation(words.buf, offsets, place, row)
     weight = np.where(how == EXACT, 1.0, MISSPELLED) * np.where(quoted, QUOTED, 1.0)
     sums = np.concatenate([[0.0], np.cumsum(weight)])
     # words are numbered through all texts: a window ends with its text as well
