@@ -187,9 +187,10 @@ def _(spark, sf_dir):
                c, MEANING["final_usr_indicators"][c].replace("'", "''"), c)
            for c in O.USR_CARRIED) + ") d", "f_usr")
 def _(spark, sf_dir):
-    """Documented columns of the prepared units, from their metadata, with known values."""
-    usr = as_final(I.prepare_usr(city(spark, sf_dir).usr), "final_usr_indicators")
-    notes = {f.name: f.metadata["comment"] for f in usr.schema.fields if f.name in O.USR_CARRIED}
+    """Documented columns that the final units carry on, from their metadata, with known values of the prepared units."""
+    final = as_final(everything(spark, sf_dir).usr_indicators, "final_usr_indicators")
+    notes = {f.name: f.metadata["comment"] for f in final.schema.fields if f.name in O.USR_CARRIED}
+    usr = I.prepare_usr(city(spark, sf_dir).usr)
     counts = usr.agg(*[F.count(c).alias(c) for c in notes])
     return counts.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.lit(text).alias("comment"), F.col(c).alias("known"))
