@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from townform.llm import (chat, decontaminate, exact_dedup, language_id, mixing, ngram_jaccard, repeats, toxicity, url_filters, warc)
 
@@ -370,3 +371,31 @@ def test_empty_tables(none):
     assert repeats.without_repeats(none).count() == 0
     assert exact_dedup.exact_groups(none).count() == 0 and exact_dedup.keep_one(none).count() == 0
     assert mixing.mixture(none).count() == 0 and mixing.mixed(none).count() == 0
+
+
+CLASHING = ("row", "copies", "drawn_row", "kept_row", "words found", "words found new", "gone", "a.b", "n", "id")
+
+
+def test_any_extra_column(spark, docs):
+    wide = docs
+    for k, name in enumerate(CLASHING):
+        wide = wide.withColumn(name, F.lit(k))
+    same = [f"`{c}`" for c in wide.columns]
+    items = spark.createDataFrame([("i", "no such words as these thirteen stand anywhere else in all of the rows here")], "item_id string, text string")
+    assert decontaminate.clean(wide, items).exceptAll(wide).count() == 0
+    once = exact_dedup.keep_one(wide)
+    assert once.columns == wide.columns and once.exceptAll(wide).count() == 0 and wide.exceptAll(once).count() > 0
+    mix = mixing.mixed(wide)
+    assert mix.columns == [c for c in wide.columns if c != "copies"] + ["copies"]
+    plain = [c for c in same if c != "`copies`"]
+    assert mix.select(*plain).exceptAll(wide.select(*plain)).count() == 0 and mix.where("copies not in (1, 2)").count() == 0
+
+
+def test_toxicity_model_hangs_on_no_partitioning(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    learns = F.crc32(F.col("doc_id").cast("string")) % 3 != 1
+    one, *others = [toxicity.fit(docs.repartition(n, "text"), labels.repartition(n), learns) for n in (1, 3, 13)]
+    assert one.words
+    for other in others:
+        assert (one.words, one.stems) == (other.words, other.stems) and one.weights.tolist() == other.weights.tolist()

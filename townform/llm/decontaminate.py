@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
+from townform.llm.tables import columns, fresh
 from townform.llm.words import ALNUM, split_words, text_slices
 
 WINDOW = 13
@@ -161,21 +162,18 @@ def _passes(items: DataFrame, most: int) -> Iterator[tuple[list[str | None], lis
 def searched(rows: DataFrame, benchmark: DataFrame, text: str, names: tuple[str, str, str], item: str = "item_id",
              item_text: str = "text", window: int = WINDOW, most: int = PATTERN_BYTES) -> DataFrame:
     """``rows`` with three more columns: number of words, places of hit words, items with occurring windows."""
-    kept = [f.name for f in rows.schema]
-    out = None
+    carried = rows.toDF(*(f"c{k}" for k in range(len(rows.columns))))  # mapInArrow takes no names with dots
+    place, plain, out = rows.columns.index(text), carried.columns, None
     for lot in _passes(benchmark.select(F.col(item), F.col(item_text)), most):
-        source = rows if out is None else out
-        fields = StructType([*source.schema, *(StructField(f"{n} new", t) for n, t in zip(names, TYPES))])
-        new = source.mapInArrow(_searcher(build(*lot, window), kept.index(text), source.columns), fields)
-        if out is None:
-            out = new.select(*(F.col(f"`{c}`") for c in kept), *(F.col(f"{n} new").alias(n) for n in names))
-        else:
-            out = new.select(*(F.col(f"`{c}`") for c in kept), F.col(names[0]), *(
-                F.array_union(n, F.col(f"{n} new")).alias(n) for n in names[1:]))
+        source = carried if out is None else out
+        fields = StructType([*source.schema, *(StructField(f"new{k}", t) for k, t in enumerate(TYPES))])
+        new = source.mapInArrow(_searcher(build(*lot, window), place, source.columns), fields)
+        found = [F.col("new0")] + [F.col(f"new{k}") if out is None else F.array_union(f"found{k}", f"new{k}") for k in (1, 2)]
+        out = new.select(*plain, *(f.alias(f"found{k}") for k, f in enumerate(found)))
     if out is None:
-        fields = StructType([*rows.schema, *(StructField(n, t) for n, t in zip(names, TYPES))])
-        out = rows.mapInArrow(_searcher([], kept.index(text), kept), fields)
-    return out
+        fields = StructType([*carried.schema, *(StructField(f"found{k}", t) for k, t in enumerate(TYPES))])
+        out = carried.mapInArrow(_searcher([], place, plain), fields)
+    return out.toDF(*rows.columns, *names)
 
 
 def _is_contaminated(words: str, hits: str) -> Column:
@@ -194,8 +192,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", **how) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
-    names = ["words found", "hits found", "items found"]
-    while set(names) & set(docs.columns):
-        names = [n + "_" for n in names]
+    names = [fresh(n, docs.columns) for n in ("words found", "hits found", "items found")]
     found = searched(docs, benchmark, text, tuple(names), **how)
-    return found.where(~_is_contaminated(f"`{names[0]}`", f"`{names[1]}`")).select(*(F.col(f"`{c}`") for c in docs.columns))
+    return found.where(~_is_contaminated(f"`{names[0]}`", f"`{names[1]}`")).select(*columns(docs.columns))

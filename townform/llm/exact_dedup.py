@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from townform.llm.tables import staged
+from townform.llm.tables import columns, fresh, staged
 
 FAN = 4
 ROUNDS = 3
@@ -67,12 +67,11 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", keep:
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: str = "max") -> DataFrame:
     """The rows that stay, with all their columns."""
-    name = "kept_row"
-    while name in docs.columns:
-        name += "_"
+    name = fresh("kept_row", docs.columns)
     label = lambda number, sha: F.concat_ws(":", F.coalesce(number.cast("string"), F.lit("")), sha)
     winners = merge_runs(staged(digest_rows(docs, key, text), "digests"), keep)
     stay = winners.select(label(F.col("keep_id"), F.lower(F.hex("sha"))).alias(name))
     rows = docs.withColumn(name, label(F.col(key), F.sha2(F.coalesce(F.col(text), F.lit("")), 256)))
     # the join leaves rows dealt by label, so repeated rows go without another exchange
-    return rows.join(stay, name).dropDuplicates([name]).select(*docs.columns)
+    # as new attributes: under a deduplication those of ``docs`` could not meet ``docs`` again in a set operation
+    return rows.join(stay, name).dropDuplicates([name]).select(*columns(docs.columns))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from townform.llm.tables import staged
+from townform.llm.tables import columns, fresh, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 EXACT = 1 << 16
@@ -149,13 +149,13 @@ def mixture(docs: DataFrame, key: str = "doc_id", text: str = "text", source: st
 def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
     """The documents of the mix, with all their columns and ``copies``, the number of times each is taken.
 
-    Rows are told apart by identifier and text; fully repeated rows count once.
+    Rows are told apart by identifier and text; fully repeated rows count once. A column ``copies`` of
+    ``docs`` is replaced; all others, of whatever name, go through.
     """
-    name = "drawn_row"
-    while name in docs.columns:
-        name += "_"
+    name = fresh("drawn_row", [*docs.columns, "text", "source"])
+    times = fresh("copies", docs.columns)
     label = F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("")), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).cast("string"))
     rows = docs.withColumn(name, label)
-    taken = (mixture(rows.select(F.col(name).alias("row"), F.col(text).alias("text"), F.col(source).alias("source")), "row", "text", "source", **how)
-             .where("taken > 0").groupBy("row").agg(F.max(F.col("taken") / F.col("size")).cast("int").alias("copies")))
-    return rows.join(taken, rows[name] == taken["row"]).select(*docs.columns, "copies")
+    taken = (mixture(rows.select(name, F.col(text).alias("text"), F.col(source).alias("source")), name, "text", "source", **how)
+             .where("taken > 0").groupBy(name).agg(F.max(F.col("taken") / F.col("size")).cast("int").alias(times)))
+    return rows.join(taken, name).select(*columns([c for c in docs.columns if c.lower() != "copies"]), F.col(times).alias("copies"))

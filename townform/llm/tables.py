@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from townform.session import checkpoint_dir
 
@@ -39,6 +41,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(name: str, taken: Sequence[str]) -> str:
+    """``name``, lengthened until no column of ``taken`` has it (Spark compares names without case)."""
+    lower = {c.lower() for c in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
+
+
+def columns(names: Sequence[str]) -> list[Column]:
+    """Columns by their whole names, dots included, as new attributes."""
+    return [F.col(f"`{c.replace('`', '``')}`").alias(c) for c in names]
+
+
 def width(spark: SparkSession) -> int:
     """Number of shuffle partitions, for the few exchanges that name their own."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

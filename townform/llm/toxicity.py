@@ -292,9 +292,10 @@ def fit(docs: DataFrame, labels: DataFrame, learns: Column, key: str = "doc_id",
              .orderBy(F.xxhash64("id"), "id", "label").limit(fit_rows))
     plain = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     sample = staged(plain.join(F.broadcast(drawn), "id"), "labelled")  # at most fit_rows identifiers are broadcast
-    sketch = sample.select("id", "text").mapInArrow(_sketch, "id long, m1 long, m2 long, m3 long")
-    apart = sketch.dropDuplicates(["m1"]).dropDuplicates(["m2"]).dropDuplicates(["m3"]).select("id").distinct()
-    apart = staged(apart, "apart").limit(fit_rows)
+    apart = sample.select("id", "text").mapInArrow(_sketch, "id long, m1 long, m2 long, m3 long")
+    for m in ("m1", "m2", "m3"):  # of near copies the least stays, however the rows are dealt
+        apart = apart.groupBy(m).agg(F.min(F.struct("id", "m1", "m2", "m3")).alias("row")).select("row.*")
+    apart = staged(apart.select("id").distinct(), "apart")  # at most fit_rows, as drawn has no more
     once = staged(sample.join(F.broadcast(apart), "id", "left_semi"), "once")
     n_toxic = once.where("label = 1").count()
     least = max(MIN_DOCS, int(MIN_SHARE * n_toxic))
@@ -314,10 +315,13 @@ def fit(docs: DataFrame, labels: DataFrame, learns: Column, key: str = "doc_id",
         for batch in batches:
             for begin, buf, offsets in text_slices(batch.column(0)):
                 x = features(buf, offsets, bare.auto())
-                yield pa.RecordBatch.from_arrays([batch.column(1).slice(begin, len(x)), *map(pa.array, x.T)], ["label", "a", "b", "c", "d"])
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(begin, len(x)), *map(pa.array, x.T)], ["row", "a", "b", "c", "d"])
 
-    seen = np.array(sample.select("text", "label").limit(2 * fit_rows)
-                    .mapInArrow(measure, "label int, a double, b double, c double, d double").collect(), float)
+    # rows of repeated identifiers beyond the bound go in the order of a hash, not of partitions
+    seen = np.array(sample.select("text", F.struct("id", "label").alias("row"))
+                    .mapInArrow(measure, "row struct<id: long, label: int>, a double, b double, c double, d double")
+                    .orderBy(F.xxhash64("row.id"), "row", "a", "b", "c", "d").limit(2 * fit_rows)
+                    .select("row.label", "a", "b", "c", "d").collect(), float)
     if not len(seen):
         return Model([], [], np.array([-3.0, 0, 0, 0, 0]))
     order = np.lexsort(seen.T)
