@@ -67,3 +67,28 @@ SELECT w.id AS doc_id, coalesce(len(ws), 0)::BIGINT AS n_words, coalesce(n_hit,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= coalesce(len(ws), 0) AS contaminated
 FROM w LEFT JOIN places ON places.id = w.id LEFT JOIN found ON found.id = w.id WHERE kind = 'd'
 """
+
+ORACLES["op13_spelling"] = r"""
+WITH RECURSIVE
+     t AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+                  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS step),
+     r AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+     d AS (SELECT doc_id, run, count(*) AS n, coalesce(doc_id::VARCHAR, '') || ':' || run AS named FROM r GROUP BY doc_id, run),
+     u AS (SELECT doc_id, run, n, list_transform(range(strlen(named)), lambda i: ('0x' || substr(hex(encode(named)), 2 * i + 1, 2))::BIGINT) AS bytes FROM d),
+     c AS (SELECT doc_id, run, n, xor(list_reduce(list_concat([4294967295], bytes),
+                  lambda c, x: xor(c >> 8, step[(xor(c, x) & 255) + 1])), 4294967295) AS h FROM u, t),
+     w AS (SELECT CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+                  sum(n)::BIGINT AS n FROM c GROUP BY 1 HAVING sum(n) >= 5 AND length(word) >= 6),
+     s AS (SELECT word, n, unnest(range(length(word))) AS i FROM w),
+     p AS (SELECT word, n, left(word, i) || '*' || substr(word, i + 2) AS same, left(word, i) || substr(word, i + 2) AS shorter FROM s),
+     e AS (SELECT x.word, y.word AS near, y.n FROM p x JOIN p y ON x.same = y.same AND x.word <> y.word
+           UNION SELECT p.word, w.word, w.n FROM p JOIN w ON p.shorter = w.word
+           UNION SELECT w.word, p.word, p.n FROM p JOIN w ON p.shorter = w.word),
+     f AS (SELECT word, count(*) AS n_near, min({'less': -n, 'form': near}) AS best FROM e GROUP BY word),
+     g AS (SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN -best.less >= 5 * n THEN best.form END AS form,
+                  CASE WHEN -best.less >= 5 * n THEN -best.less END AS form_n FROM w LEFT JOIN f ON f.word = w.word),
+     z(word, last) AS (SELECT word, word FROM g UNION SELECT z.word, g.form FROM z JOIN g ON z.last = g.word WHERE g.form IS NOT NULL)
+SELECT g.word, g.form, z.last AS root, g.n, g.n_near, g.form_n::BIGINT AS form_n
+FROM g JOIN z ON z.word = g.word JOIN g k ON k.word = z.last WHERE k.form IS NULL
+"""

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from townform.llm import chat, decontaminate, exact_dedup, language_id, mixing, ngram_jaccard, repeats, toxicity, url_filters, warc
+from townform.llm import (
+    alignment, chat, decontaminate, exact_dedup, language_id, mixing, ngram_jaccard, packing, repeats, spelling, toxicity, url_filters, warc)
 from townform.llm.checks import ORACLES  # noqa: F401
 from townform.llm.tables import read
 
@@ -78,8 +80,25 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a sequence of 4096 tokens."""
+    rows = packing.packed(read(spark, sf_dir, "documents"), path=public_tokenizers.path("word_bpe_49k.json"))
+    return rows.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aligned tokens of two tokenizers in every document, scored by how often their ids are linked."""
+    return alignment.scores(read(spark, sf_dir, "documents"), a=public_tokenizers.path("byte_bpe_50k.json"),
+                            b=public_tokenizers.path("piece_bpe_32k.model"), ranks=public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, one letter dropped where the hash says so, with the form that each stands for."""
+    return spelling.variants(read(spark, sf_dir, "documents"), slips=199)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_ngram_jaccard, op2_warc, op3_toxicity, op4_url_filters, op5_exact_dedup, op6_language_id, op7_mixing, op8_suffix_dedup,
-        op9_chat, op10_decontaminate)
+        op9_chat, op10_decontaminate, op11_packing, op12_alignment, op13_spelling)
 }

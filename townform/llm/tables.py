@@ -23,8 +23,8 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and go on from there.
+def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and go on from there. ``options`` are the writer's.
 
     The lineage ends at the written table, so a lost executor recomputes nothing before it.
     """
@@ -34,7 +34,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     if before is not None:
         spark.conf.set(CLEANUP, "true")  # the exchanges behind the table are not read again
     try:
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     finally:
         if before is not None:
             spark.conf.set(CLEANUP, before)

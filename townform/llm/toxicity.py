@@ -342,12 +342,12 @@ def scored(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text
 
 def without_toxic(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.7) -> DataFrame:
     """The documents whose score is below the threshold, with all their columns."""
-    names = docs.columns
+    place, plain = docs.columns.index(text), docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))  # mapInArrow takes no names with dots
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin, buf, offsets in text_slices(batch.column(names.index(text))):
+            for begin, buf, offsets in text_slices(batch.column(place)):
                 keep = model.score(buf, offsets) < threshold
                 yield batch.slice(begin, len(keep)).filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
