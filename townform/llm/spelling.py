@@ -4,9 +4,11 @@ Words are maximal runs of letters. Every word has a vector: how many of its lett
 letter groups ``GROUPS``. The vectors form a trie, one level per group. Two words one edit apart differ by
 at most one letter too many in one group (a surplus) and one too few in another (a deficit); so a word's
 near words are found by a depth-first search that at every level goes on to the same count, to one more
-while the surplus is unspent, and to one less while the deficit is unspent. Words at the leaves are
-compared letter by letter. A whole set of queries goes down together; subtrees of at most ``FEW`` words
-are compared at once.
+while the surplus is unspent, and to one less while the deficit is unspent. Every pair is found from one
+side only: the deficit may be spent behind the surplus, and of equal vectors the lesser word finds the
+other. Words at the leaves are verified, first by the parities of all single letters, of which an edit
+changes two at most, then letter by letter. A whole set of queries goes down together; subtrees of at most
+``FEW`` words are compared at once.
 
 The trie is dealt out by Spark. Counts of all prefixes give the nodes with more than ``bound`` words, the
 larger of ``LEAST`` and a ``SHARDS``-th of all words: at most ``SHARDS`` per level, so this top of the trie
@@ -26,9 +28,9 @@ are compared. An empty table gives an empty result. Other columns do not matter.
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -48,17 +50,14 @@ SHARDS = 4096
 FEW = 8
 HELD = 1 << 18     # different words that a task counts before it passes them on
 QUERIES = 1 << 15  # that go down a trie together
-PAIRS = 1 << 16    # compared at once
+PAIRS = 1 << 15    # compared at once
 WIDE = 48          # letters of words compared as arrays; longer ones are compared one by one
 
 
 # --- words and how often they stand -------------------------------------------------
 
-def slip(run: bytes, key: bytes, slips: int) -> bytes:
-    """``run`` of a document, without one letter if its hash says so."""
-    h = zlib.crc32(run, zlib.crc32(key + b":"))
-    if h % slips:
-        return run
+def slip(run: bytes, h: int) -> bytes:
+    """``run`` without one letter, the one that its hash says."""
     letters = run.decode()
     at = h % len(letters)
     return (letters[:at] + letters[at + 1:]).encode()
@@ -75,13 +74,14 @@ def counted_words(docs: DataFrame, key: str = "doc_id", text: str = "text", leas
 
         for batch in batches:
             for name, body in zip(batch.column(0), batch.column(1)):
-                runs = Counter(RUN.findall((body.as_py() or "").encode().lower()))
+                runs = RUN.findall((body.as_py() or "").encode().lower())
+                counts.update(runs)
                 if slips:
-                    name = (name.as_py() or "").encode()
-                    for word, n in runs.items():
-                        counts[slip(word, name, slips)] += n
-                else:
-                    counts.update(runs)
+                    named = crc32((name.as_py() or "").encode() + b":")
+                    for word in [w for w in set(runs) if not crc32(w, named) % slips]:
+                        n = runs.count(word)
+                        counts[word] -= n
+                        counts[slip(word, crc32(word, named))] += n
                 if len(counts) > HELD:
                     yield flush()
                     counts.clear()
@@ -120,7 +120,7 @@ def reached(v: tuple[int, ...], heavy: dict[tuple[int, ...], int], bound: int) -
             down((*node, own), surplus, deficit)
             if surplus:
                 down((*node, own + 1), False, deficit)
-            if deficit and own:
+            if deficit and own and not surplus:
                 down((*node, own - 1), surplus, False)
 
     down((), True, True)
@@ -140,7 +140,7 @@ def dealt(words: DataFrame, heavy: dict[tuple[int, ...], int], bound: int) -> Da
                 node = next(v[:d] for d in range(LEVELS + 1) if v[:d] not in heavy or d == LEVELS)
                 home = ".".join(map(str, node))
                 if node in heavy:
-                    home += f"#{zlib.crc32(word.encode()) % -(-heavy[node] // bound)}"
+                    home += f"#{crc32(word.encode()) % -(-heavy[node] // bound)}"
                 cells.append((home, False, True, True))
                 cells.extend((name, True, s, d) for name, s, d in ways)
                 source.extend([k] * (1 + len(ways)))
@@ -160,20 +160,29 @@ def dealt(words: DataFrame, heavy: dict[tuple[int, ...], int], bound: int) -> Da
 # --- the search in one shard --------------------------------------------------------
 
 class Asked:
-    """Words as arrays: letters (one byte each, as none is beyond U+00FF), counts and vectors."""
+    """Words as arrays: letters (one byte each, as none is beyond U+00FF), their parities, counts and vectors."""
 
     def __init__(self, words: list[str], n: list[int], v: list[list[int]]):
         self.words = np.array([w.encode("latin-1") for w in words], object)
-        self.n, self.v = np.array(n, np.int64), np.array(v, np.int32).reshape(-1, LEVELS)
+        self.n, self.v = np.array(n, np.int64), np.array(v, np.int8 if max(map(max, v)) < 64 else np.int32).reshape(-1, LEVELS)
         self.size = np.array([len(w) for w in words], np.int64)
-        self.letters = np.array([w[:WIDE] for w in self.words], f"S{WIDE}").view(np.uint8).reshape(-1, WIDE)
+        self.wide = min(WIDE, int(self.size.max()) + 1)
+        self.letters = np.array([w[:self.wide] for w in self.words], f"S{self.wide}").view(np.uint8).reshape(-1, self.wide)
+        flat = np.frombuffer(b"".join(self.words), np.uint8)
+        bits = np.left_shift(np.uint64(1), (flat & 63).astype(np.uint64))
+        self.parity = np.bitwise_xor.reduceat(bits, np.cumsum(self.size) - self.size)
 
     def sorted(self) -> Asked:
         order = np.lexsort(self.v.T[::-1])
         out = object.__new__(Asked)
-        out.words, out.n, out.v, out.size, out.letters = (a[order] for a in (self.words, self.n, self.v, self.size, self.letters))
+        out.words, out.n, out.v, out.size, out.letters, out.parity = (
+            a[order] for a in (self.words, self.n, self.v, self.size, self.letters, self.parity))
+        out.wide = self.wide
         return out
 
+    def padded(self, wide: int) -> np.ndarray:
+        return np.pad(self.letters, ((0, 0), (0, wide - self.wide)))
+
 
 def one_edit(a: bytes, b: bytes) -> bool:
     """Whether one letter inserted, deleted or replaced makes ``a`` of ``b``."""
@@ -184,17 +193,19 @@ def one_edit(a: bytes, b: bytes) -> bool:
     return a[ahead + 1:] == b[ahead + (len(a) == len(b)):] if len(a) >= len(b) else a[ahead:] == b[ahead + 1:]
 
 
-def verified(asks: Asked, q: np.ndarray, words: Asked, w: np.ndarray) -> np.ndarray:
+def verified(asks: Asked, letters_q: np.ndarray, q: np.ndarray, words: Asked, letters_w: np.ndarray, w: np.ndarray) -> np.ndarray:
     """Which of the pairs are one edit apart."""
-    a, b = asks.letters[q], words.letters[w]
+    a, b = letters_q[q], letters_w[w]
     la, lb = asks.size[q], words.size[w]
+    wide = a.shape[1]
     apart = a != b
-    ahead = np.where(apart.any(axis=1), apart.argmax(axis=1), WIDE)[:, None]
-    before = np.arange(WIDE - 1) < ahead
-    more = ((a[:, :-1] == b[:, 1:]) | before).all(axis=1)
-    less = ((a[:, 1:] == b[:, :-1]) | before).all(axis=1)
-    near = np.where(la == lb, apart.sum(axis=1) == 1, np.where(lb == la + 1, more, (lb + 1 == la) & less))
-    for k in np.flatnonzero(np.maximum(la, lb) > WIDE - 1):
+    near = (la == lb) & (apart.sum(axis=1) == 1)
+    for k in (1, -1):  # the longer without its letter at the first difference
+        some = np.flatnonzero(lb - la == k)
+        short, long = (a[some], b[some]) if k > 0 else (b[some], a[some])
+        ahead = np.where(apart[some].any(axis=1), apart[some].argmax(axis=1), wide)[:, None]
+        near[some] = ((short[:, :-1] == long[:, 1:]) | (np.arange(wide - 1) < ahead)).all(axis=1)
+    for k in np.flatnonzero(np.maximum(la, lb) >= wide):
         near[k] = one_edit(asks.words[q[k]], words.words[w[k]])
     return near
 
@@ -208,41 +219,65 @@ def candidates(asks: Asked, surplus: np.ndarray, deficit: np.ndarray, words: Ask
             for first in range(0, high - low, FEW):
                 some = np.arange(low + first, min(low + first + FEW, high))
                 more = words.v[some, depth:][None] - asks.v[who, depth:][:, None]
-                fits = (np.maximum(more, 0).sum(axis=2) <= s[:, None]) & (np.maximum(-more, 0).sum(axis=2) <= d[:, None])
-                q, w = np.nonzero(fits)
-                if len(q):
-                    yield who[q], some[w]
+                parted = np.bitwise_count(words.parity[some][None] ^ asks.parity[who][:, None]) <= 2
+                q, w = np.nonzero(parted & ((more > 0).sum(axis=2) <= s[:, None]) & ((more < 0).sum(axis=2) <= d[:, None]) & (np.abs(more) <= 1).all(axis=2))
+                more, s_, who_ = more[q, w], s[q], who[q]
+                first_sign = np.take_along_axis(more, (more != 0).argmax(axis=1)[:, None], 1)[:, 0] if depth < LEVELS else np.zeros(len(q))
+                same = s_ & (first_sign == 0)
+                keep = ~s_ | (first_sign == 1)
+                keep[same] = asks.words[who_[same]] < words.words[some[w[same]]]
+                if keep.any():
+                    yield who_[keep], some[w[keep]]
             continue
         column = words.v[low:high, depth]
         cut = low + np.flatnonzero(np.diff(column, prepend=-1))
         own = asks.v[who, depth]
         for first, last in zip(cut, np.append(cut[1:], high)):
             more = words.v[first, depth] - own
-            goes = (more == 0) | ((more == 1) & s) | ((more == -1) & d)
+            goes = (more == 0) | ((more == 1) & s) | ((more == -1) & d & ~s)
             if goes.any():
                 more = more[goes]
                 stack.append((depth + 1, first, last, who[goes], s[goes] & (more != 1), d[goes] & (more != -1)))
 
 
-def nearest(asks: Asked, surplus: np.ndarray, deficit: np.ndarray, words: Asked, depth: int) -> pa.RecordBatch | None:
-    """For every query with near words in the shard: how many, and the most frequent of them."""
-    found = []
+def _most_frequent(own: Asked, k: np.ndarray, other: Asked, m: np.ndarray) -> pa.RecordBatch:
+    """For every ``own`` word of the pairs: how many others, and the most frequent, the first of equal ones."""
+    place = np.empty(len(other.n), np.int64)
+    place[np.argsort(other.words)] = np.arange(len(other.n))  # code-point order
+    order = np.lexsort((place[m], -other.n[m], k))
+    k, m = k[order], m[order]
+    first = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+    best = m[first]
+    word, form = ([x.decode("latin-1") for x in group] for group in (own.words[k[first]], other.words[best]))
+    return pa.RecordBatch.from_arrays([pa.array(word), pa.array(np.diff(np.append(first, len(k)))), pa.array(other.n[best]), pa.array(form)],
+                                      ["word", "near", "form_n", "form"])
+
+
+def nearest(asks: Asked, surplus: np.ndarray, deficit: np.ndarray, words: Asked, depth: int) -> Iterator[pa.RecordBatch]:
+    """For every word of a pair found in the shard: how many partners it has there, and the most frequent of them."""
+    wide = max(asks.wide, words.wide)
+    letters = asks.padded(wide), words.padded(wide)
+    found, open_, size = [], [], 0
+
+    def settle() -> None:
+        q, w = (np.concatenate([p[k] for p in open_]) for k in (0, 1))
+        keep = verified(asks, letters[0], q, words, letters[1], w)
+        found.append((q[keep], w[keep]))
+        open_.clear()
+
     for q, w in candidates(asks, surplus, deficit, words, depth):
         for first in range(0, len(q), PAIRS):
-            some = slice(first, first + PAIRS)
-            keep = verified(asks, q[some], words, w[some])
-            found.append((q[some][keep], w[some][keep]))
-    q, w = (np.concatenate([f[k] for f in found] or [np.zeros(0, np.int64)]) for k in (0, 1))
-    if not len(q):
-        return None
-    place = np.argsort(np.argsort(words.words))  # code-point order
-    order = np.lexsort((place[w], -words.n[w], q))
-    q, w = q[order], w[order]
-    first = np.flatnonzero(np.append(True, q[1:] != q[:-1]))
-    best = w[first]
-    decoded = [[x.decode("latin-1") for x in group] for group in (asks.words[q[first]], words.words[best])]
-    return pa.RecordBatch.from_arrays([pa.array(decoded[0]), pa.array(np.diff(np.append(first, len(q)))), pa.array(words.n[best]), pa.array(decoded[1])],
-                                      ["word", "near", "form_n", "form"])
+            open_.append((q[first:first + PAIRS], w[first:first + PAIRS]))
+            size += len(open_[-1][0])
+            if size >= PAIRS:
+                settle()
+                size = 0
+    if open_:
+        settle()
+    q, w = (np.concatenate([p[k] for p in found] or [np.zeros(0, np.int64)]) for k in (0, 1))
+    if len(q):
+        yield _most_frequent(asks, q, words, w)
+        yield _most_frequent(words, w, asks, q)
 
 
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,9 +290,7 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             trie = trie or Asked(*zip(*words)).sorted()
             depth = LEVELS if "#" in shard else shard.count(".") + 1 if shard else 0
             s, d, *rest = zip(*asks)
-            out = nearest(Asked(*rest), np.array(s), np.array(d), trie, depth)
-            if out is not None:
-                yield out
+            yield from nearest(Asked(*rest), np.array(s), np.array(d), trie, depth)
         asks = []
 
     for batch in batches:
