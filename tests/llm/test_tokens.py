@@ -38,12 +38,12 @@ def none(docs):
 
 # --- packing ------------------------------------------------------------------------
 
-@pytest.mark.parametrize("name, memo", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 @pytest.mark.parametrize("room", [4096, 50])
-def test_packing(docs, rows, name, memo, room):
+def test_packing(docs, rows, name, room):
     path = public_tokenizers.path(name)
     whole = Tokenizer.from_file(path)
-    out = packing.packed(docs, path=path, room=room, memo=memo, most=8)
+    out = packing.packed(docs, path=path, room=room, most=8)
     got = out.collect()
     want = Counter()
     for i, t in rows:
@@ -63,6 +63,21 @@ def test_packing(docs, rows, name, memo, room):
     assert joined == {k: b"".join(p[2] for p in parts) for k, parts in filled.items()}
 
 
+def test_plain_texts_take_the_shorter_way(rows):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encode, whole = packing.Encoder(path), Tokenizer.from_file(path)
+    assert encode.merges.sound() and packing.Merges.of_file(public_tokenizers.path("byte_bpe_50k.json")) is None
+    rng = random.Random(2)
+    letters = "".join(map(chr, range(32, 127))) + "\n\n  ''\"ÀÉÖØßéöøÿ×÷abcdefghijklmnopqrstuvwxyz"
+    texts = [t or "" for _, t in rows] + ["".join(rng.choice(letters) for _ in range(rng.randint(1, 60))) for _ in range(4000)]
+    texts += ["".join(rng.choice("abcs' .") for _ in range(30)) for _ in range(1000)] + list(whole.get_vocab()) + ["<|startoftext|>A", "<|StartOfText|>"]
+    assert sum(packing.PLAIN.fullmatch(t) is not None for t in texts) > len(texts) / 2
+    assert encode(texts) == [np.array(e.ids, "<u4").tobytes() for e in whole.encode_batch(texts, add_special_tokens=False)]
+    broken = encode.merges
+    broken.merges = [*broken.merges[:300], broken.merges[301], broken.merges[300], *broken.merges[302:]]
+    assert not broken.sound()
+
+
 def test_open_sequences_against_lists():
     """Best fit and the closing of the fullest, against a search through all open sequences."""
     rng = random.Random(3)

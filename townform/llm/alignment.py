@@ -27,6 +27,7 @@ import re
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from townform.llm.packing import text_groups
+from townform.llm.packing import byte_level, text_groups
 from townform.llm.tables import staged
 
 MEMO = 1 << 18
@@ -46,13 +47,6 @@ LINK = StructType([StructField("a", IntegerType()), StructField("b", IntegerType
 DISPUTED = re.compile("[^\x00-ɏ]")
 
 
-def byte_level() -> dict[str, int]:
-    """The character that stands for each byte in a byte-level vocabulary: itself if printable, else the next beyond 255."""
-    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
-    hidden = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(hidden)}
-
-
 class ByteLevel:
     """A byte-level tokenizer file; ``ranks`` are the same vocabulary, for texts that both read alike."""
 
@@ -201,14 +195,10 @@ class Aligner:
         return [*map(pa.array, sums), pa.array(joined, pa.string()), pa.ListArray.from_arrays(pa.array(offsets), rows)]
 
 
-_aligners: dict[tuple, Aligner] = {}
-
-
+@lru_cache(maxsize=1)
 def aligner(a: str, b: str, ranks: str | None) -> Aligner:
     """One aligner for all tasks of a worker."""
-    if (a, b, ranks) not in _aligners:
-        _aligners[a, b, ranks] = Aligner(ByteLevel(a, ranks), Pieces(b))
-    return _aligners[a, b, ranks]
+    return Aligner(ByteLevel(a, ranks), Pieces(b))
 
 
 def aligned(docs: DataFrame, key: str = "doc_id", text: str = "text", a: str | None = None, b: str | None = None,

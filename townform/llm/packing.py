@@ -14,10 +14,8 @@ smaller round, a task for about ``ROUND`` ids. So a partition costs no half-empt
 of its own. Both rounds are written tables; numbers of sequences hold the number of the task, so a lost
 task comes back with equal rows.
 
-Ids are looked up by the runs between blanks and only unknown runs go through the tokenizer
-(``MEMO`` of them are remembered by a worker, longer runs than ``WORD`` never). That is exact for a
-tokenizer that drops blanks and never looks across them, like the default one, but not for others: pass
-``memo=False`` there.
+Texts go through the tokenizer file. For files that are built like the default one (``Merges.of_file``),
+texts of plain Latin characters take a shorter way to the same ids.
 
 Cases: a null text is the empty text and has the end id only. Repeated rows are packed each by itself,
 and a null key is a key like any other. Strings of special tokens inside texts get the special id, as the
@@ -26,9 +24,12 @@ tokenizer file has it. An empty table gives an empty result. Other columns do no
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Iterable, Iterator
-from itertools import accumulate, chain
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -45,12 +46,13 @@ OPEN = 256
 FULL = 0.995
 LOT = 1 << 20
 ROUND = 1 << 22
-MEMO = 1 << 19
-WORD = 64
-CHARS = 1 << 20  # looked up at once, or one text if that is longer
+CHARS = 1 << 20  # encoded at once, or one text if that is longer
 FLUSH = 8 << 20
 IDS = np.dtype("<u4")
 
+#: Texts whose letters, digits and blanks no table of characters disputes, and that normalising only lower-cases
+PLAIN = re.compile("[\n -~À-ÖØ-öø-ÿ]*")
+
 Piece = tuple[object, int, int, bytes]  # key, piece, start, ids
 
 
@@ -68,50 +70,96 @@ def text_groups(keys: pa.Array, texts: pa.Array, most: int = CHARS) -> Iterator[
         yield names, some
 
 
+def byte_level() -> dict[str, int]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if printable, else the next beyond 255."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    hidden = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(hidden)}
+
+
+class Merges:
+    """Ids of plain texts by the merges of a tokenizer file, in a library that merges faster.
+
+    That library joins two tokens wherever the vocabulary has both together, the file only where it lists
+    that merge. Both agree if every token comes out whole when its own units are merged by the list: then
+    two tokens side by side that are together in the vocabulary are always the listed pair, as inside their
+    span nothing else can have been merged before. ``sound`` tests this for the file at hand, and that ids
+    go in the order of merges. A line feed stands for the suffix of the last unit; no word has one.
+    """
+
+    #: How files of this kind normalise and split a text.
+    NORMALIZER = {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+    SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+    #: The same split for lower-cased plain texts.
+    WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \na-zß-öø-ÿ0-9]+")
+
+    def __init__(self, model: dict):
+        import tiktoken
+        self.byte, self.suffix = byte_level(), model["end_of_word_suffix"]
+        self.vocabulary, self.merges = model["vocab"], [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        tokens = {self.bytes(t): n for t, n in self.vocabulary.items() if all(c in self.byte for c in t.removesuffix(self.suffix))}
+        ranks = {b: n for b, n in tokens.items() if b"\n" not in b[:-1]}
+        ranks[b"\n"] = next(n for t, n in self.vocabulary.items() if self.byte.get(t) == 10)
+        self.encoding = tiktoken.Encoding("words", pat_str=r"[^\n]*\n", mergeable_ranks=ranks, special_tokens={})
+
+    @classmethod
+    def of_file(cls, path: str) -> Merges | None:
+        file = json.load(open(path))
+        model, split = file["model"], file["pre_tokenizer"] or {}
+        same = (model["type"] == "BPE" and model.get("end_of_word_suffix") and not any(
+            model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "ignore_merges", "byte_fallback"))
+            and file["normalizer"] == cls.NORMALIZER and [s["type"] for s in split.get("pretokenizers", [])] == ["Split", "ByteLevel"]
+            and split["pretokenizers"][0]["pattern"] == {"Regex": cls.SPLIT}
+            and not split["pretokenizers"][1]["use_regex"] and not split["pretokenizers"][1]["add_prefix_space"]
+            and all(t["content"].startswith("<|") for t in file["added_tokens"]))
+        found = cls(model) if same else None
+        return found if found and found.sound() else None
+
+    def bytes(self, token: str) -> bytes:
+        plain = token.removesuffix(self.suffix)
+        return bytes(self.byte[c] for c in plain) + b"\n" * (plain != token)
+
+    def sound(self) -> bool:
+        rank = {m: k for k, m in enumerate(self.merges)}
+        made = [self.vocabulary["".join(m)] for m in self.merges]
+        units = [n for t, n in self.vocabulary.items() if len(t.removesuffix(self.suffix)) == 1]
+        if made != sorted(set(made)) or max(units) > made[0]:
+            return False
+        for token in map("".join, self.merges):
+            plain = token.removesuffix(self.suffix)
+            parts = [*plain[:-1], plain[-1] + token[len(plain):]]
+            while len(parts) > 1:
+                best = min(zip(parts, parts[1:]), key=lambda m: rank.get(m, len(rank)))
+                if best not in rank:
+                    return False
+                at = next(k for k in range(len(parts)) if (parts[k], parts[k + 1]) == best)
+                parts[at:at + 2] = ["".join(best)]
+        return True
+
+    def __call__(self, text: str) -> bytes:
+        words = self.WORDS.findall(text.lower())
+        return np.array(self.encoding.encode_ordinary("\n".join(words) + "\n"), IDS).tobytes() if words else b""
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit numbers."""
 
-    def __init__(self, path: str, memo: bool = True):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
-        self.tokenizer, self.memo, self.known = Tokenizer.from_file(path), memo, {}
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, IDS).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def learn(self, runs: list[str]) -> None:
-        """Encode unknown runs many at a time; offsets tell whose an id is."""
-        for first in range(0, len(runs), 4096):
-            some = runs[first:first + 4096]
-            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            begin = np.fromiter(accumulate(map(len, some), lambda at, n: at + n + 1, initial=0), np.int64, len(some) + 1)
-            places = np.fromiter((o[0] for o in found.offsets), np.int64, len(found.offsets))
-            cut = (4 * np.searchsorted(places, begin)).tolist()
-            ids = np.array(found.ids, IDS).tobytes()
-            self.known.update((run, ids[cut[k]:cut[k + 1]]) for k, run in enumerate(some))
+        self.tokenizer, self.merges = Tokenizer.from_file(path), Merges.of_file(path)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if not self.memo:
-            return self.whole(texts)
-        if len(self.known) > MEMO:
-            self.known.clear()
-        runs = [text.replace("\n", " ").split(" ") for text in texts]
-        new = set().union(*runs).difference(self.known)
-        long = {run for run in new if len(run) > WORD}
-        once = dict(zip(long, self.whole(list(long))))
-        self.learn(list(new - long))
-        get = self.known.__getitem__ if not once else lambda run: once[run] if run in once else self.known[run]
-        return [b"".join(map(get, some)) for some in runs]
-
-
-_encoders: dict[tuple[str, bool], Encoder] = {}
+        plain = [self.merges is not None and "<|" not in t and PLAIN.fullmatch(t) is not None for t in texts]
+        others = iter(self.tokenizer.encode_batch([t for t, is_plain in zip(texts, plain) if not is_plain], add_special_tokens=False))
+        return [self.merges(t) if is_plain else np.array(next(others).ids, IDS).tobytes() for t, is_plain in zip(texts, plain)]
 
 
-def encoder(path: str, memo: bool) -> Encoder:
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
     """One encoder for all tasks of a worker."""
-    if (path, memo) not in _encoders:
-        _encoders[path, memo] = Encoder(path, memo)
-    return _encoders[path, memo]
+    return Encoder(path)
 
 
 class OpenSequences:
@@ -222,13 +270,13 @@ def _arrow(key: pa.DataType) -> pa.Schema:
 
 
 def packed(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, room: int = ROOM, end: int = 1,
-           most: int = OPEN, memo: bool = True) -> DataFrame:
+           most: int = OPEN) -> DataFrame:
     """One row per piece: key, piece, start, length, ids (binary, little-endian unsigned 32-bit), sequence_id, offset."""
     path = path or public_tokenizers.path("word_bpe_49k.json")
     last = np.array([end], IDS).tobytes()
 
     def documents(batch: pa.RecordBatch) -> Iterator[Piece]:
-        encode = encoder(path, memo)
+        encode = encoder(path)
         for names, texts in text_groups(batch.column(0), batch.column(1)):
             for name, ids in zip(names, encode(texts)):
                 yield from pieces(name, ids + last, room)
