@@ -144,7 +144,7 @@ def test_alignment(docs, rows, pairs, ranks):
     assert Counter(map(tuple, got.collect())) == want
 
 
-def test_forgotten_windows_come_back():
+def test_forgotten_windows_come_back(monkeypatch):
     sides = [public_tokenizers.path(p) for p in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
     align = alignment.Aligner(alignment.ByteLevel(sides[0]), alignment.Pieces(sides[1]))
     texts = [t or "" for t in ODD]
@@ -152,6 +152,9 @@ def test_forgotten_windows_come_back():
     align.forget()
     assert [c.to_pylist() for c in align(texts)] == first
     assert [c.to_pylist() for c in align(texts[::-1])] == [c[::-1] for c in first]
+    align.forget()
+    monkeypatch.setattr(alignment, "LARGE", 1)  # pairs of large groups are counted, not listed
+    assert [c.to_pylist() for c in align(texts)] == first
 
 
 # --- spelling -----------------------------------------------------------------------

@@ -3,7 +3,7 @@
 Every text is tokenised whole by both sides. Where a token of either side that begins with a space starts
 at the same byte, both sides end there: such anchors split a text into windows of ids, mostly one word
 each. A window's alignment, the groups between all byte offsets where tokens of both sides end, hangs on
-its ids only, so it is remembered by the two tuples of ids and computed once (a worker remembers ``MEMO``
+its ids only, so it is remembered by its ids of both sides and computed once (a worker remembers ``MEMO``
 of them). Side A gets a space and the text; side B, which adds that space itself, the text.
 
 An A id and a B id are linked where they share a group. ``scores`` counts for every pair of ids the
@@ -25,9 +25,9 @@ import json
 import os
 import re
 from array import array
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -41,7 +41,8 @@ from townform.llm.tables import staged
 
 MEMO = 1 << 18
 PAIRS = 1 << 21
-SPACE = 0x20
+SIGN = 0xFFFFFFFF  # no id
+LARGE = 1 << 12    # pairs of a group that are listed one by one
 LINK = StructType([StructField("a", IntegerType()), StructField("b", IntegerType()), StructField("n", LongType())])
 #: Letters whose class no Unicode version disputes: only texts of these go the faster way.
 DISPUTED = re.compile("[^\x00-ɏ]")
@@ -98,49 +99,58 @@ class Aligner:
 
     def __init__(self, a, b):
         self.sides = (a, b)
-        self.sizes = [[len(t) for t in s.bytes] for s in self.sides]
-        self.lengths = [np.array(s, np.int64) for s in self.sizes]
+        self.lengths = [np.array([len(t) for t in s.bytes], np.int64) for s in self.sides]
+        self.names = [[np.array([f"{k}{sign}" for k in range(len(s.bytes))], object) for sign in signs] for s, signs in zip(self.sides, (",|", ",;"))]
         self.marked = [np.array([t[:1] == b" " for t in s.bytes]) for s in self.sides]
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[tuple[bytes, bytes], int] = {}
+        self.known: dict[bytes, int] = {}
         self.groups, self.texts, self.links = array("q"), [], array("q")
         self.codes, self.times, self.first = array("q"), array("q"), array("q", [0])
 
-    def window(self, a: list[int], b: list[int]) -> Iterator[tuple[list[int], list[int]]]:
-        """Ids of both sides between the offsets where both end."""
-        size_a, size_b = self.sizes
-        i = j = from_i = from_j = ahead = 0  # how much further side a has come than side b
-        while i < len(a) or j < len(b):
-            if ahead <= 0:
-                ahead, i = ahead + size_a[a[i]], i + 1
-            else:
-                ahead, j = ahead - size_b[b[j]], j + 1
-            if not ahead:
-                yield a[from_i:i], b[from_j:j]
-                from_i, from_j = i, j
-
-    def learn(self, key: tuple[bytes, bytes]) -> int:
-        width, links, texts = len(self.sizes[1]), {}, []
-        for one, other in self.window(*(memoryview(k).cast("I").tolist() for k in key)):
-            texts.append(f"{','.join(map(str, one))}|{','.join(map(str, other))}")
-            if len(one) == 1 or len(other) == 1:
-                for pair in [x * width + y for x in one for y in other]:
-                    links[pair] = links.get(pair, 0) + 1
-            else:
-                times = Counter(other).items()
-                for x, n in Counter(one).items():
-                    for y, m in times:
-                        links[x * width + y] = links.get(x * width + y, 0) + n * m
-        self.known[key] = number = len(self.texts)
-        self.groups.append(len(texts))
-        self.texts.append(";".join(texts))
-        self.links.append(sum(links.values()))
-        self.codes.extend(links.keys())
-        self.times.extend(links.values())
-        self.first.append(len(self.codes))
-        return number
+    def learn(self, a: np.ndarray, cut_a: np.ndarray, b: np.ndarray, cut_b: np.ndarray) -> None:
+        """Align windows: ids of both sides in a row and where each window's ids begin, the end included."""
+        width, n = len(self.sides[1].bytes), len(cut_a) - 1
+        ends = [np.cumsum(size[ids]) for size, ids in zip(self.lengths, (a, b))]
+        common = np.intersect1d(*ends, assume_unique=True)  # groups end here, windows among them
+        group_a, group_b = (np.searchsorted(common, e) for e in ends)
+        in_a, in_b = (np.bincount(g, minlength=len(common)) for g in (group_a, group_b))
+        window = np.searchsorted(ends[0][cut_a[1:] - 1], common)
+        self.groups.extend(np.bincount(window, minlength=n).tolist())
+        self.links.extend(np.bincount(window, in_a * in_b, n).astype(np.int64).tolist())
+        self.texts.extend(self._texts(a, group_a, b, group_b, window))
+        # pairs of a group: every A id with every B id; of large groups, different ids only and how often
+        large = in_a * in_b > LARGE
+        of_a = np.flatnonzero(~large[group_a])
+        reps = in_b[group_a[of_a]]
+        begin_b = np.cumsum(in_b) - in_b
+        at_b = np.arange(reps.sum()) + np.repeat(begin_b[group_a[of_a]] - np.cumsum(reps) + reps, reps)
+        code = np.repeat(a[of_a].astype(np.int64), reps) * width + b[at_b]
+        owner, times = np.repeat(window[group_a[of_a]], reps), np.ones(len(code), np.int64)
+        for g in np.flatnonzero(large):
+            ids, n_a = np.unique(a[group_a == g].astype(np.int64), return_counts=True)
+            others, n_b = np.unique(b[group_b == g].astype(np.int64), return_counts=True)
+            code = np.append(code, (ids[:, None] * width + others).ravel())
+            times = np.append(times, np.outer(n_a, n_b).ravel())
+            owner = np.append(owner, np.full(len(ids) * len(others), window[g]))
+        if large.any():
+            order = np.argsort(owner, kind="stable")
+            code, times, owner = code[order], times[order], owner[order]
+        first = self.first[-1]
+        self.codes.frombytes(code.tobytes())
+        self.times.frombytes(times.tobytes())
+        self.first.extend((first + np.cumsum(np.bincount(owner, minlength=n))).tolist())
+
+    def _texts(self, a: np.ndarray, group_a: np.ndarray, b: np.ndarray, group_b: np.ndarray, window: np.ndarray) -> list[str]:
+        """Groups of windows as text: ids with a comma behind, the last of a group on either side with its own sign."""
+        parts = [np.where(np.append(g[1:] != g[:-1], True), last[ids], more[ids]) for ids, g, (more, last) in
+                 zip((a, b), (group_a, group_b), self.names)]
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        listed = np.concatenate(parts)[order].tolist()
+        sizes = np.bincount(window[group_a], minlength=window[-1] + 1) + np.bincount(window[group_b], minlength=window[-1] + 1)
+        cut = [0, *np.cumsum(sizes).tolist()]
+        return ["".join(listed[i:j])[:-1] for i, j in zip(cut, cut[1:])]
 
     def __call__(self, texts: list[str]) -> list[pa.Array]:
         """n_a, n_b, n_groups, n_links, groups and links of every text."""
@@ -155,20 +165,38 @@ class Aligner:
             else:
                 ids[0][k], ids[1][k] = [], []
         counts = [np.fromiter(map(len, of), np.int64, len(texts)) for of in ids]
-        flat = [np.array([i for one in of for i in one], np.uint32) for of in ids]
-        base = np.cumsum(size) - size
+        flat = [np.fromiter(chain.from_iterable(of), np.uint32, n.sum()) for of, n in zip(ids, counts)]
         begins = [np.cumsum(n[f]) - n[f] for n, f in zip(self.lengths, flat)]
-        marked = [begin[m[f]] for begin, m, f in zip(begins, self.marked, flat)]
-        # begins of texts and common begins of tokens with a space: both sides end there
-        cut = np.union1d(np.intersect1d(*marked, assume_unique=True), base[size > 0])
-        at = [(4 * np.append(np.searchsorted(begin, cut), len(f))).tolist() for begin, f in zip(begins, flat)]
-        raw = [f.tobytes() for f in flat]
-        keys = [(raw[0][i:j], raw[1][k:m]) for i, j, k, m in zip(at[0], at[0][1:], at[1], at[1][1:])]
-        known = self.known
-        number = np.fromiter((known[k] if k in known else self.learn(k) for k in keys), np.int64, len(keys))
-        owner = np.searchsorted(base + size, cut, "right")
+        # common begins of tokens with a space, those of texts among them: both sides end there
+        cut = np.intersect1d(*(begin[m[f]] for begin, m, f in zip(begins, self.marked, flat)), assume_unique=True)
+        at = [np.append(np.searchsorted(begin, cut), len(f)) for begin, f in zip(begins, flat)]
+        # a window's key: its A ids, a sign, its B ids
+        row = np.full(len(flat[0]) + len(flat[1]) + len(cut), SIGN, np.uint32)
+        for side in (0, 1):
+            window = np.repeat(np.arange(len(cut)), np.diff(at[side]))
+            row[np.arange(len(flat[side])) + window + (at[1][window] if side == 0 else at[0][window + 1] + 1)] = flat[side]
+        raw, ends = row.tobytes(), (4 * (at[0] + at[1] + np.arange(len(cut) + 1))).tolist()
+        keys = [raw[i:j] for i, j in zip(ends, ends[1:])]
+        new = dict.fromkeys(k for k in keys if k not in self.known)
+        if new:
+            self._learn_keys(list(new))
+        number = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
+        owner = np.searchsorted(np.cumsum(size), cut, "right")
         return [*(pa.array(c) for c in counts), *self._of_texts(len(texts), owner, number)]
 
+    def _learn_keys(self, keys: list[bytes]) -> None:
+        first = len(self.texts)
+        ids = np.frombuffer(b"".join(keys), np.uint32)
+        sign = np.flatnonzero(ids == SIGN)
+        ends = np.cumsum(np.fromiter(map(len, keys), np.int64, len(keys)) // 4)
+        begins = np.append(0, ends[:-1])
+        in_a, in_b = sign - begins, ends - sign - 1
+        is_a = np.repeat(np.tile([True, False], len(keys)), np.stack([in_a, in_b + 1], 1).ravel())
+        is_b = ~is_a
+        is_b[sign] = False
+        self.learn(ids[is_a], np.append(0, np.cumsum(in_a)), ids[is_b], np.append(0, np.cumsum(in_b)))
+        self.known.update(zip(keys, range(first, first + len(keys))))
+
     def _of_texts(self, n: int, owner: np.ndarray, number: np.ndarray) -> list[pa.Array]:
         def numbers(of: array) -> np.ndarray:
             return np.frombuffer(of, np.int64) if of else np.zeros(0, np.int64)
