@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from townform.functions import geometry as G
 from townform.plans.chain import Inputs
+from townform.schemas import TYPOLOGIES
 
 BUILDINGS_SQL = """
 SELECT pk, pk_usr, id_zone, CAST(10000 + id_zone AS VARCHAR(10)) AS code_insee,
@@ -74,6 +75,25 @@ SELECT 100000 + id_zone * 11 + g, 'V', CAST(2 + g % 3 AS DOUBLE), code_insee, co
 FROM f_communes CROSS JOIN (SELECT DISTINCT CAST(p_partkey % 11 AS INT) AS g FROM {part}) k
 """
 
+# Forests of the test city: one tree of four levels for every 31 parts. Predictors with a usual value.
+SPLITS = {"i_area": 60, "i_h": 9, "i_levels": 2, "i_vol": 500, "i_floor": 90, "i_nb_nei": 1, "u_nb_build": 20, "b_area": 150,
+          "i_inhab": 15, "u_floor": 1500}
+
+
+def _case(of: str, values) -> str:
+    return f"CASE {of} " + " ".join(f"WHEN {k} THEN {v}" for k, v in enumerate(values)) + " END"
+
+
+FOREST_SQL = f"""
+SELECT tree, node, CASE WHEN node < 16 THEN {_case('k', [f"'{v}'" for v in SPLITS])} END AS variable,
+  CASE WHEN node < 16 THEN CAST({_case('k', SPLITS.values())} AS DOUBLE) * (25 + p_size) / 50.0E0 END AS split,
+  CASE WHEN node < 16 THEN 2 * node END AS below, CASE WHEN node < 16 THEN 2 * node + 1 END AS above,
+  CASE WHEN node >= 16 THEN {_case('p_size % 10', [f"'{t}'" for t in TYPOLOGIES])} END AS typo
+FROM (SELECT CAST(FLOOR(p_partkey / 31.0) AS INT) AS tree, CAST(p_partkey % 31 + 1 AS BIGINT) AS node,
+        (p_partkey * 7 + p_size) % 10 AS k, p_size FROM {{part}}) n
+WHERE tree < (SELECT FLOOR(COUNT(*) / 31.0) FROM {{part}})
+"""
+
 EXTRA_ZONE = 1_000_000  # communes listed a second time, under another number
 REJECT = 10_000_000     # source rows that preparation must drop
 
@@ -85,6 +105,12 @@ def buildings_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(BUILDINGS_SQL, part=spark.read.parquet(f"{sf_dir}/part.parquet"))
 
 
+def forest_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forest as a table of nodes."""
+    rows = spark.sql(FOREST_SQL, part=spark.read.parquet(f"{sf_dir}/part.parquet"))
+    return rows.withColumnsRenamed({"below": "left", "above": "right", "typo": "class"})
+
+
 def _box(df: DataFrame, srid: int = 2154) -> DataFrame:
     corners = [F.col(c) for c in ("x0", "y0", "x1", "y1")]
     return df.withColumn("the_geom", G.rectangle(*corners, srid=srid)).drop("x0", "y0", "x1", "y1")

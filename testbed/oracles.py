@@ -7,8 +7,8 @@ and courtyards from a flood fill of unit cells.
 
 from __future__ import annotations
 
-from testbed.city import BUILDINGS_SQL, COMMUNES_SQL, IRIS_SQL, ROADS_SQL, USR_SQL
-from townform.plans.typology import BLOCK_FEATURES, BUILDING_FEATURES, USR_FEATURES
+from testbed.city import BUILDINGS_SQL, COMMUNES_SQL, FOREST_SQL, IRIS_SQL, ROADS_SQL, SPLITS, USR_SQL
+from townform.plans.typology import BLOCK_FEATURES, BUILDING_FEATURES, FEATURES, USR_FEATURES
 from townform.schemas import TYPO_LABELS, TYPOLOGIES
 
 
@@ -248,6 +248,17 @@ SELECT id_zone, pk_usr, pk_block, COUNT(*) AS cells, SUM(len) AS len,
 FROM yard_parts GROUP BY id_zone, pk_usr, pk_block
 """)
 
+# Shells run clockwise around members and courtyards, courtyards the other way.
+cte("outline", "members", "b", "contig", "yards")("""
+SELECT s.id_zone, s.pk_usr, s.pk_block, 0 AS hole, 0 AS breaks, -(s.area + COALESCE(y.cells, 0)) AS signed_area,
+  s.len - COALESCE(y.len, 0) AS length
+FROM (SELECT m.id_zone, m.pk_usr, m.pk_block, SUM(b.area) AS area, SUM(b.perimeter - COALESCE(c.p_wall_long, 0)) AS len
+      FROM members m JOIN b ON b.id_zone = m.id_zone AND b.pk = m.pk LEFT JOIN contig c ON c.id_zone = b.id_zone AND c.pk = b.pk
+      GROUP BY ALL) s
+LEFT JOIN yards y ON y.id_zone = s.id_zone AND y.pk_block = s.pk_block
+UNION ALL SELECT id_zone, pk_usr, pk_block, 1, 0, cells, len FROM yards
+""")
+
 # Corner terms of all outlines of a block with a courtyard, from the cells around each vertex.
 cte("yard_blocks", "yards", "members", "b", "contig")("""
 SELECT y.id_zone, y.pk_usr, y.pk_block, SUM(b.area) AS area, SUM(b.perimeter - COALESCE(c.p_wall_long, 0)) AS free_len
@@ -419,4 +430,40 @@ SELECT t.*, r.typo_maj, r.typo_second FROM typo_table t JOIN (
   GROUP BY id_zone, pk_usr) r ON t.id_zone = r.id_zone AND t.pk_usr = r.pk_usr
 """)
 
+# Every building walks down every tree; the most votes win, of equal ones the first name.
+cte("forest")(FOREST_SQL.replace("{part}", "part"))
+
+cte("known_feat", "feat")("SELECT * FROM feat WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in FEATURES))
+
+cte("node_walk", "known_feat", "forest")("""
+SELECT f.id_zone, f.pk_building, t.tree, CAST(1 AS BIGINT) AS node FROM known_feat f, (SELECT DISTINCT tree FROM forest) t
+UNION ALL
+SELECT w.id_zone, w.pk_building, w.tree, CASE WHEN CASE n.variable """ + " ".join(f"WHEN '{v}' THEN f.{v}" for v in SPLITS) + """ END <= n.split
+  THEN n.below ELSE n.above END
+FROM node_walk w JOIN forest n ON n.tree = w.tree AND n.node = w.node AND n.variable IS NOT NULL
+JOIN known_feat f ON f.id_zone = w.id_zone AND f.pk_building = w.pk_building
+""")
+
+cte("node_votes", "node_walk", "forest")("""
+SELECT w.id_zone, w.pk_building, n.typo, COUNT(*) AS votes
+FROM node_walk w JOIN forest n ON n.tree = w.tree AND n.node = w.node AND n.typo IS NOT NULL GROUP BY ALL
+""")
+
+cte("node_typo", "feat", "node_votes")("""
+SELECT f.id_zone, f.pk_usr, f.pk_building, v.typo, f.i_floor, f.u_floor
+FROM feat f LEFT JOIN (SELECT id_zone, pk_building, ARG_MIN(typo, (-votes, typo)) AS typo FROM node_votes GROUP BY ALL) v
+ON v.id_zone = f.id_zone AND v.pk_building = f.pk_building
+""")
+
+cte("node_typo_cells", "node_typo")(f"""
+SELECT id_zone, pk_usr, typo, {even('SUM(CASE WHEN u_floor <> 0 THEN i_floor / u_floor * 100 ELSE 0 END)')} AS share
+FROM node_typo WHERE typo IS NOT NULL GROUP BY id_zone, pk_usr, typo
+""")
+
+for _name in ("typo_table", "typo_rank", "typo_best"):
+    _needs, _sql = CTES[_name]
+    for _other in ("typo_cells", "typo_table", "typo_rank"):
+        _sql = _sql.replace(_other, f"node_{_other}")
+    CTES[f"node_{_name}"] = (tuple(f"node_{n}" for n in _needs), _sql)
+
 LABEL_VALUES = ", ".join("('{}', '{}')".format(t, label.replace("'", "''")) for t, label in TYPO_LABELS.items())

@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from testbed import oracles as O
-from testbed.city import EXTRA_ZONE, IRIS_COUNTS, city
+from testbed.city import EXTRA_ZONE, IRIS_COUNTS, city, forest_table
 from townform.functions import geometry as G
 from townform.operators import courtyards as C
 from townform.operators import distances as D
 from townform.operators import neighbours as N
+from townform.operators import outlines as L
 from townform.operators import roads as R
 from townform.operators.overlap import max_overlap
 from townform.params import Params
@@ -27,11 +28,12 @@ from townform.plans import buildings as BB
 from townform.plans import chain
 from townform.plans import typology as Y
 from townform.plans import usr as U
+from townform.plans.forest import classify_from_nodes
 from townform.schemas import BUILDING_COLUMNS, MEANING, TYPOLOGIES, USR_COLUMNS, typo_label
 from townform.session import checkpoint_dir, cut_lineage
 from townform.sources import computed as M
 from townform.sources import inputs as I
-from townform.sources.results import as_final, final_counts, write_final
+from townform.sources.results import as_final, final_counts, read_final, write_final
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -341,6 +343,17 @@ def _(spark, sf_dir):
     return C.courtyards(b, members, close)
 
 
+@query("block_outline", "id_zone pk_usr pk_block hole breaks", "signed_area length", oracle="outline", needs="outline")
+def _(spark, sf_dir):
+    """Outlines of all blocks, summed up by shells and courtyards, with the places where walls do not follow."""
+    b, close, members = with_blocks(spark, sf_dir)
+    walls = cut_lineage(L.block_outlines(b, members, close))
+    breaks = L.ring_breaks(walls).groupBy("id_zone", "pk_block", "hole").agg(F.count("*").alias("breaks"))
+    sums = L.ring_measures(walls).groupBy("id_zone", "pk_usr", "pk_block", "hole").agg(
+        F.sum("signed_area").alias("signed_area"), F.sum("length").alias("length"))
+    return sums.join(breaks, ["id_zone", "pk_block", "hole"], "left").fillna(0, ["breaks"])
+
+
 @query("block_main_dir", "id_zone pk_block", "main_dir_deg", oracle="block_dir", needs="block_dir")
 def _(spark, sf_dir):
     b, _, members = with_blocks(spark, sf_dir)
@@ -509,6 +522,14 @@ def _(spark, sf_dir):
     return Y.classify_buildings(Y.train_typology(labelled, P, trees=10, depth=5), features)
 
 
+@query("classify_from_nodes", "pk_building pk_usr id_zone", "", "typo", "node_typo", "node_typo")
+def _(spark, sf_dir):
+    """A forest that comes as a table of nodes, walked level by level."""
+    r = everything(spark, sf_dir)
+    features = cut_lineage(Y.typology_features(r.building_indicators, r.block_indicators, r.usr_indicators))
+    return classify_from_nodes(features, forest_table(spark, sf_dir))
+
+
 # --- results and import ------------------------------------------------------------------
 
 def _result_folder(spark) -> str:
@@ -531,6 +552,17 @@ def _(spark, sf_dir):
                                         "final_usr_indicators", "final_communes", "final_iris"))
 
 
+@query("final_typologies", "pk_usr id_zone typed", " ".join(TYPOLOGIES), "typo_maj typo_second",
+       "(SELECT t.*, c.typed FROM node_typo_best t JOIN (SELECT id_zone, pk_usr, COUNT(typo) AS typed FROM node_typo GROUP BY ALL) c "
+       "ON c.id_zone = t.id_zone AND c.pk_usr = t.pk_usr) t", "node_typo_best node_typo")
+def _(spark, sf_dir):
+    """The chain with a forest: typologies of units, and how many buildings have one, read back from the final tables."""
+    folder = _result_folder(spark)
+    chain.run_chain(city(spark, sf_dir), folder, forest_table(spark, sf_dir))
+    typed = read_final(spark, folder, "final_building_typo").groupBy("id_zone", "pk_usr").agg(F.count("typo").alias("typed"))
+    return read_final(spark, folder, "final_usr_typo").join(typed, ["id_zone", "pk_usr"])
+
+
 def _wanted(c):
     """Zones of two urban areas."""
     return I.resolve_areas(I.scan_communes(c.zones), "unite_urbaine", ["UU_0", "UU_2"], key="id_zone")
@@ -568,6 +600,19 @@ def _(spark, sf_dir):
     return M.import_blocks(computed, units, _wanted(c))
 
 
+@query("import_block_outlines", "id_zone pk_usr pk_block hole", "signed_area length",
+       oracle=f"(SELECT * FROM outline WHERE {IN_WANTED}) o", needs="outline")
+def _(spark, sf_dir):
+    """Outlines as the chain stores them, of the wanted zones only."""
+    c = city(spark, sf_dir)
+    b, close, members = with_blocks(spark, sf_dir)
+    folder = _result_folder(spark)
+    write_final(L.block_outlines(b, members, close), folder, "final_block_outlines")
+    walls = M.import_block_outlines(read_final(spark, folder, "final_block_outlines"), _wanted(c))
+    return L.ring_measures(walls).groupBy("id_zone", "pk_usr", "pk_block", "hole").agg(
+        F.sum("signed_area").alias("signed_area"), F.sum("length").alias("length"))
+
+
 @query("import_typo_buildings", "pk_building id_zone", "shape_area", "typo",
        f"(SELECT r.*, b.area AS shape_area FROM rule_typo r JOIN b ON b.pk = r.pk_building WHERE r.{IN_WANTED}) t",
        "rule_typo b")

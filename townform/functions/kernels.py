@@ -6,7 +6,6 @@ shipped by value with the plan, so executors need no copy of this package.
 
 from __future__ import annotations
 
-import math
 import sys
 
 import numpy as np
@@ -344,7 +343,11 @@ def free_pieces(walls, wall, t0, t1):
     hi = np.concatenate([t1, np.zeros(walls), np.full(walls, 2.0)])
     order = np.lexsort((hi, lo, w))
     w, lo, hi = w[order], lo[order], hi[order]
-    reach = np.maximum.accumulate(hi + 4.0 * w) - 4.0 * w  # restarts at each wall
+    # furthest end so far, anew on each wall: by ranks, which keep the ends exact however many walls there are
+    by_end = np.argsort(hi, kind="stable")
+    rank = np.empty(len(hi), dtype=np.int64)
+    rank[by_end] = np.arange(len(hi))
+    reach = hi[by_end[np.maximum.accumulate(rank + w * len(hi)) - w * len(hi)]]
     gap = np.flatnonzero((w[1:] == w[:-1]) & (lo[1:] - reach[:-1] > 1e-9))
     return w[gap], reach[gap], lo[gap + 1]
 
@@ -453,59 +456,6 @@ def common_borders(seg_a, off_a, seg_b, off_b, tol):
     return total
 
 
-# --- outlines of blocks -----------------------------------------------------------
-
-def corner_term(turning):
-    """Share of a corner in the area between an outline and its offset by 1."""
-    return math.tan(turning / 2) if turning > 0 else turning / 2
-
-
-def turning_angle(d, e):
-    """Signed angle from direction d to direction e, counter-clockwise."""
-    return math.atan2(d[0] * e[1] - d[1] * e[0], d[0] * e[0] + d[1] * e[1])
-
-
-def outline_chains(seg, after, wall, t0, t1):
-    """Free outline of a building as chains between contacts with other buildings.
-
-    Each chain: closed, start x, y, direction, end x, y, direction, moment (twice the signed
-    area about the origin), length, corner terms.
-    """
-    origin = seg[:2, 0].copy()
-    seg = seg - np.tile(origin[:, None], (2, 1))
-    s, a, b = free_pieces(seg.shape[1], wall, t0, t1)
-    ends_hit, starts_hit = set(wall[t1 > 1 - 1e-9].tolist()), set(wall[t0 < 1e-9].tolist())
-    x1, y1, x2, y2 = along(seg, s, a, b)
-    first_on = {w: k for k, w in reversed(list(enumerate(s.tolist()))) if a[k] < 1e-9}
-    follows = {}
-    for k, w in enumerate(s.tolist()):
-        m = first_on.get(int(after[w]))
-        if b[k] > 1 - 1e-9 and m is not None and w not in ends_hit and int(after[w]) not in starts_hit:
-            follows[k] = m
-    begun = set(follows.values())
-    heads = [k for k in range(len(s)) if k not in begun]
-    done, chains = set(), []
-    for head in heads + list(range(len(s))):
-        if head in done:
-            continue
-        run, k = [], head
-        while k is not None and k not in done:
-            done.add(k)
-            run.append(k)
-            k = follows.get(k)
-        closed = k == head
-        way = [(x2[k] - x1[k], y2[k] - y1[k]) for k in run]
-        nexts = way[1:] + way[:1] if closed else way[1:]
-        moment = sum(float(x1[k] * y2[k] - x2[k] * y1[k]) for k in run)
-        sx, sy, ex, ey = x1[run[0]], y1[run[0]], x2[run[-1]], y2[run[-1]]
-        moment += origin[0] * (ey - sy) - origin[1] * (ex - sx)
-        chains.append((closed, sx + origin[0], sy + origin[1], *way[0],
-                       ex + origin[0], ey + origin[1], *way[-1], moment,
-                       sum(math.hypot(*d) for d in way),
-                       sum(corner_term(turning_angle(d, e)) for d, e in zip(way, nexts))))
-    return chains
-
-
 # --- convex hulls -----------------------------------------------------------------
 
 def half_hulls(x, y, n):

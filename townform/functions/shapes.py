@@ -12,8 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from townform.functions.kernels import (
-    common_areas, covered_walls, hull_measures, list_sizes, lit_areas, next_segments,
-    common_borders, outline_chains, polygon_gaps, segments, starts)
+    common_areas, covered_walls, hull_measures, list_sizes, lit_areas, common_borders, polygon_gaps,
+    segments, starts)
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -22,11 +22,6 @@ GAP = "struct<dist: double, shared: double>"
 SPANS = "array<struct<wall: int, t0: double, t1: double>>"
 
 
-CHAINS = ("array<struct<closed: boolean, sx: double, sy: double, sdx: double, sdy: double, "
-          "ex: double, ey: double, edx: double, edy: double, moment: double, length: double, "
-          "corner: double>>")
-
-
 def _struct(columns: dict) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(v, pa.float64()) if isinstance(v, np.ndarray) else v
                                        for v in columns.values()],
@@ -98,30 +93,6 @@ def lit_floor_area(geom: Column, spans: Column, depth: float) -> Column:
     return measure(geom["rings"], spans)
 
 
-def chains(geom: Column, spans: Column) -> Column:
-    """Free outline of a building as chains, cut where the covered ``spans`` begin and end."""
-
-    @F.arrow_udf(CHAINS)
-    def measure(rings: pa.Array, spans: pa.Array) -> pa.Array:
-        seg, offs = segments(rings)
-        after = next_segments(rings)
-        span = spans.flatten()
-        wall, t0, t1 = (span.field(n).to_numpy(zero_copy_only=False) for n in ("wall", "t0", "t1"))
-        at = starts(list_sizes(spans))
-        rows = [outline_chains(seg[:, offs[k]:offs[k + 1]], after[offs[k]:offs[k + 1]] - offs[k],
-                               wall[at[k]:at[k + 1]], t0[at[k]:at[k + 1]], t1[at[k]:at[k + 1]])
-                for k in range(len(rings))]
-        flat = list(zip(*[chain for row in rows for chain in row])) or [()] * 12
-        names = ("closed", "sx", "sy", "sdx", "sdy", "ex", "ey", "edx", "edy", "moment", "length",
-                 "corner")
-        columns = [pa.array(flat[0], pa.bool_())] + [pa.array(c, pa.float64()) for c in flat[1:]]
-        offsets = starts([len(row) for row in rows]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets),
-                                        pa.StructArray.from_arrays(columns, list(names)))
-
-    return measure(geom["rings"], spans)
-
-
 def overlap_area(a: Column, b: Column, grow: float = 0.0, tol: float = 1e-6) -> Column:
     """Area shared by two polygons; NULL where either is NULL.
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from townform.functions import geometry as G
 from townform.functions.scalar import ratio
-from townform.functions.shapes import chains
+from townform.functions.outlines import chains
 from townform.operators.components import components
 from townform.operators.grid import grid_join
 from townform.operators.neighbours import SPAN, both_ways
@@ -37,17 +37,19 @@ def block_cover(pairs: DataFrame) -> DataFrame:
             .groupBy("id_zone", "pk").agg(F.collect_set("span").alias("spans")))
 
 
-def free_chains(buildings: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Chains of all buildings that meet another or have a hole of their own.
+def free_chains(buildings: DataFrame, members: DataFrame, pairs: DataFrame, lone: bool = False, walls: bool = False) -> DataFrame:
+    """Chains of all buildings that meet another or have a hole of their own, with their ``walls`` on request.
 
-    A lone building without holes has no courtyard and needs no chain.
+    A building without either has no courtyard and needs no chain, unless ``lone`` asks for it.
     """
     spans = F.coalesce("spans", F.array().cast(SPAN))
-    return (buildings.select("id_zone", "pk", "the_geom")
+    rows = (buildings.select("id_zone", "pk", "the_geom")
             .join(members, ["id_zone", "pk"])
-            .join(block_cover(pairs), ["id_zone", "pk"], "left")
-            .where(F.col("spans").isNotNull() | (G.num_interior_rings(F.col("the_geom")) > 0))
-            .select(*BLOCK, "pk", F.posexplode(chains(F.col("the_geom"), spans)).alias("no", "chain"))
+            .join(block_cover(pairs), ["id_zone", "pk"], "left"))
+    if not lone:
+        rows = rows.where(F.col("spans").isNotNull() | (G.num_interior_rings(F.col("the_geom")) > 0))
+    return (rows
+            .select(*BLOCK, "pk", F.posexplode(chains(F.col("the_geom"), spans, walls)).alias("no", "chain"))
             .select(*BLOCK, (F.col("pk").cast("long") * CHAINS_PER_BUILDING + F.col("no")).alias("chain_id"),
                     "chain.*"))
 
@@ -80,10 +82,10 @@ def chain_links(open_chains: DataFrame, p: Params = Params()) -> DataFrame:
     opening = F.when(opening < 1e-9, F.lit(2 * math.pi)).otherwise(opening)
     gap = F.hypot(F.col("ex") - F.col("sx"), F.col("ey") - F.col("sy"))
     found = F.struct(
-        F.round(opening, 6).alias("opening"), gap.alias("gap"), "next_id", turning.alias("turning"),
+        F.round(opening, 6).alias("opening"), gap.alias("gap"), "next_id", "sx", "sy", turning.alias("turning"),
         (F.col("ex") * (F.col("sy") - F.col("ey")) - F.col("ey") * (F.col("sx") - F.col("ex"))).alias("moment"))
     return (met.groupBy(*BLOCK, "chain_id").agg(F.min(found).alias("link"))
-            .select(*BLOCK, "chain_id", "link.next_id", "link.turning", "link.moment"))
+            .select(*BLOCK, "chain_id", "link.next_id", "link.turning", "link.moment", "link.sx", "link.sy"))
 
 
 def block_rings(buildings: DataFrame, members: DataFrame, pairs: DataFrame,

@@ -131,7 +131,7 @@ def block_main_dir(buildings: DataFrame, members: DataFrame, p: Params = Params(
 
 def block_indicators(indicators: DataFrame, buildings: DataFrame, members: DataFrame,
                      pairs: DataFrame, p: Params = Params()) -> DataFrame:
-    """One row per block, without its outline: no coordinates of blocks are given out."""
+    """One row per block. Its outline is a table of its own, ``operators.outlines.block_outlines``."""
     sums = indicators.groupBy(*BLOCK).agg(*_sums(), *_heights(), _compacity())
     yards = courtyards(buildings, members, pairs, p)
     return (sums

@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from townform.operators.neighbours import close_pairs
+from townform.operators.outlines import block_outlines
 from townform.params import Params
 from townform.plans import blocks as B
 from townform.plans.buildings import building_indicators
+from townform.plans.forest import classify_from_nodes
 from townform.plans.typology import classify_buildings, typo_buildings, typo_usr, typology_features
 from townform.plans.usr import usr_indicators
 from townform.sources import inputs as I
@@ -77,20 +79,24 @@ def compute(inputs: Inputs, codes: I.Codes = None, p: Params = Params(),
                    members, by_building, by_block, by_usr)
 
 
-def run_chain(inputs: Inputs, path: str, model: PipelineModel | None = None, codes: I.Codes = None,
-              p: Params = Params(), mode: str = "replace") -> Results:
+def run_chain(inputs: Inputs, path: str, model: PipelineModel | DataFrame | None = None, codes: I.Codes = None,
+              p: Params = Params(), mode: str = "replace", require_usr: bool = True) -> Results:
     """Compute everything and write the final tables below ``path``.
 
-    Typologies are written when a trained model is given.
+    Typologies are written when a trained model is given: a fitted pipeline, or a forest as a table of nodes.
     """
-    r = compute(inputs, codes, p)
+    r = compute(inputs, codes, p, require_usr=require_usr)
     tables = {"final_building_indicators": r.building_indicators,
               "final_block_indicators": r.block_indicators,
+              "final_block_outlines": block_outlines(r.buildings, r.members, r.pairs, p),
               "final_usr_indicators": r.usr_indicators,
               "final_communes": r.communes, "final_iris": r.iris}
     if model is not None:
-        typed = classify_buildings(
-            model, typology_features(r.building_indicators, r.block_indicators, r.usr_indicators))
+        features = typology_features(r.building_indicators, r.block_indicators, r.usr_indicators)
+        if isinstance(model, DataFrame):
+            typed = classify_from_nodes(cut_lineage(features), model)
+        else:
+            typed = classify_buildings(model, features)
         # both tables read it: the forest runs once
         typed = cut_lineage(typed.select("id_zone", "pk_usr", "pk_building", "i_floor", "u_floor", "typo"))
         tables["final_building_typo"] = typo_buildings(r.buildings, typed)

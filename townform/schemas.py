@@ -17,6 +17,7 @@ BUILDING_COLUMNS = (
 BLOCK_COLUMNS = (
     "pk_block", "pk_usr", "id_zone", "area", "floor_area", "vol", "h_mean", "h_std", "compacity",
     "holes_area", "holes_percent", "main_dir_deg")
+OUTLINE_COLUMNS = ("id_zone", "pk_usr", "pk_block", "ring_id", "hole", "seq", "x1", "y1", "x2", "y2", "srid")
 USR_COLUMNS = (
     "pk", "id_zone", "the_geom", "insee_individus", "insee_menages", "insee_men_coll",
     "insee_men_surf", "insee_surface_collectif", "vegetation_surface", "route_surface",
@@ -58,6 +59,7 @@ FINAL_TABLES = {
     "final_usr_typo": TYPO_USR_COLUMNS,
     "final_communes": COMMUNE_COLUMNS,
     "final_iris": IRIS_COLUMNS,
+    "final_block_outlines": OUTLINE_COLUMNS,
 }
 
 MEANING = {
@@ -76,6 +78,19 @@ MEANING = {
         "main_dir_deg": "direction of the long side of the narrowest enclosing rectangle, "
                         "degrees clockwise from north, 0 to 180",
     },
+    "final_block_outlines": {
+        "id_zone": "key of the commune",
+        "pk_usr": "key of the urban unit",
+        "pk_block": "key of the block within the commune",
+        "ring_id": "key of the ring within the commune",
+        "hole": "whether the ring encloses a courtyard",
+        "seq": "place of the wall in its ring, from 0",
+        "x1": "begin of the wall, east (m)",
+        "y1": "begin of the wall, north (m)",
+        "x2": "end of the wall, east (m)",
+        "y2": "end of the wall, north (m)",
+        "srid": "reference system of the coordinates",
+    },
     "final_building_indicators": {
         "the_geom": "footprint, rings normalised",
         "pk_building": "key of the building",

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from townform.schemas import OUTLINE_COLUMNS
+
 Zones = DataFrame | Sequence[int]
 
 
@@ -40,6 +42,11 @@ def import_blocks(computed: DataFrame, usr_computed: DataFrame, zones: Zones) ->
     return computed.join(units, "pk_usr", "left_semi").select(*computed.columns)
 
 
+def import_block_outlines(computed: DataFrame, zones: Zones) -> DataFrame:
+    """Walls of the blocks of the zones; a list of zones reaches the partitions of the stored table."""
+    return of_zones(computed, zones).select(*OUTLINE_COLUMNS)
+
+
 def import_typo_buildings(computed: DataFrame, bati: DataFrame, zones: Zones) -> DataFrame:
     return _with_outline(of_zones(computed, zones), "pk_building", bati)
 
