@@ -75,7 +75,7 @@ def chain_links(open_chains: DataFrame, p: Params = Params()) -> DataFrame:
                               _spot("ex", "ey", reach / 2).alias("end_box"))
     begins = open_chains.select(*KEY, F.col("chain_id").alias("next_id"), "sx", "sy", "sdx", "sdy",
                                 _spot("sx", "sy", reach / 2).alias("start_box"))
-    met = grid_join(ends, begins, "end_box", "start_box", NODE_CELL, KEY)
+    met = grid_join(ends, begins, "end_box", "start_box", NODE_CELL, KEY, levels=([0], [0]))
     turning = _turning("edx", "edy", "sdx", "sdy")
     # clockwise angle from the reversed arrival; turning straight back comes last
     opening = F.pmod(F.lit(math.pi) - turning, F.lit(2 * math.pi))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from townform.functions import geometry as G
 from townform.functions.shapes import covered_spans, polygon_gap
-from townform.operators.grid import grid_join
+from townform.operators.grid import grid_join, grid_levels
 from townform.params import Params
 
 SPAN = "array<struct<wall: int, t0: double, t1: double>>"
@@ -31,8 +31,9 @@ def close_pairs(buildings: DataFrame, p: Params = Params()) -> DataFrame:
     """
     block_reach = 2 * p.block_buffer
     reach = max(block_reach, p.epsilon, p.snap)
+    levels = grid_levels(_side(buildings, "a", reach), "box_a", p.building_cell)
     pairs = grid_join(_side(buildings, "a", reach), _side(buildings, "b", reach), "box_a", "box_b",
-                      p.building_cell, condition=F.col("pk_a") < F.col("pk_b"))
+                      p.building_cell, condition=F.col("pk_a") < F.col("pk_b"), levels=(levels, levels))
     a, b = F.col("geom_a"), F.col("geom_b")
     near = F.col("gap.dist") <= p.epsilon
     unit = F.col("pk_usr_a").eqNullSafe(F.col("pk_usr_b")) & (F.col("gap.dist") <= block_reach)

@@ -20,7 +20,7 @@ from townform.plans.typology import classify_buildings, typo_buildings, typo_usr
 from townform.plans.usr import usr_indicators
 from townform.sources import inputs as I
 from townform.session import cut_lineage
-from townform.sources.results import write_final
+from townform.sources.results import write_tables
 
 
 @dataclass(frozen=True)
@@ -101,6 +101,5 @@ def run_chain(inputs: Inputs, path: str, model: PipelineModel | DataFrame | None
         typed = cut_lineage(typed.select("id_zone", "pk_usr", "pk_building", "i_floor", "u_floor", "typo"))
         tables["final_building_typo"] = typo_buildings(r.buildings, typed)
         tables["final_usr_typo"] = typo_usr(r.usr, typed)
-    for name, table in tables.items():
-        write_final(table, path, name, mode)
+    write_tables(tables, path, mode, p)  # all of them or none
     return r

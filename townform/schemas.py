@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from townform.functions.geometry import GEOMETRY
 
 # Names and order of the result columns.
 BUILDING_COLUMNS = (
@@ -62,6 +65,13 @@ FINAL_TABLES = {
     "final_block_outlines": OUTLINE_COLUMNS,
 }
 
+# Types of the result columns; all others are double.
+LONG = ("pk", "pk_building", "pk_block", "pk_usr", "id_zone", "ring_id", "seq")
+INT = ("nb_niv", "nb_neighbor", "num_points", "build_numb", "srid", "a_46_49", "m_05_08", "a_05_08", "m_09_11", "a_09_11")
+TEXT = ("theme", "pai_bdtopo", "pai_nature", "dcomiris", "depcom", "nom_com", "code_insee", "unite_urbaine", "typo", "typo_maj", "typo_second")
+TYPES = {**dict.fromkeys(LONG, T.LongType()), **dict.fromkeys(INT, T.IntegerType()), **dict.fromkeys(TEXT, T.StringType()),
+         "hole": T.BooleanType(), "the_geom": GEOMETRY}
+
 MEANING = {
     "final_block_indicators": {
         "pk_block": "key of the block, unique within a commune: lowest key of its buildings",
@@ -189,6 +199,13 @@ def documented(df: DataFrame, table: str) -> DataFrame:
                        for c in df.columns])
 
 
+def final_schema(table: str) -> T.StructType:
+    """Declared names, types and comments of a result table."""
+    notes = MEANING.get(table, {})
+    return T.StructType([T.StructField(c, TYPES.get(c, T.DoubleType()), metadata={"comment": notes[c]} if c in notes else None)
+                         for c in FINAL_TABLES[table]])
+
+
 def column_dictionary(spark: SparkSession) -> DataFrame:
     rows = [(table, column, text) for table, notes in MEANING.items() for column, text in notes.items()]
     return spark.createDataFrame(rows, "table_name string, column_name string, comment string")

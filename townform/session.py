@@ -25,6 +25,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder in whatever store it lies."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Run ``df`` once and continue from its reliable checkpoint."""
     checkpoint_dir(df.sparkSession)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from townform.functions import geometry as G
 from townform.functions.shapes import hull
 from townform.params import Params
+from townform.sources.computed import listed, of_zones
 
 Codes = DataFrame | Sequence[str] | None
 
@@ -93,6 +94,9 @@ def prepare_buildings(bati: DataFrame, zones: DataFrame, codes: Codes = None, p:
     """
     known = in_codes(zones.select(F.col("ogc_fid").alias("idzone"), "code_insee"), "code_insee", codes)
     geom = F.col("the_geom")
+    if codes is not None:  # a bounded list of zones reaches the scan of the outlines
+        wanted = listed(known.select(F.col("idzone").alias("id_zone")))
+        bati = bati if isinstance(wanted, DataFrame) else of_zones(bati, wanted, "idzone")
     rows = bati.where((G.num_geometries(geom) == 1) & ~G.is_empty(geom))
     if require_usr:
         rows = rows.where(F.col("idilot").isNotNull())
