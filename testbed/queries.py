@@ -544,10 +544,10 @@ def _result_folder(spark) -> str:
        "UNION ALL SELECT 'final_communes', id_zone, COUNT(*) FROM f_communes GROUP BY ALL "
        "UNION ALL SELECT 'final_iris', id_zone, COUNT(*) FROM f_iris GROUP BY ALL) t", "b members f_usr f_communes f_iris")
 def _(spark, sf_dir):
-    """The chain, written twice (the second run replaces its zones) and read back."""
+    """The chain, its communes written twice (the second run replaces its zones), and all read back."""
     folder = _result_folder(spark)
-    r = chain.run_chain(city(spark, sf_dir), folder)
-    write_final(r.communes, folder, "final_communes")
+    chain.run_chain(city(spark, sf_dir), folder)
+    write_final(read_final(spark, folder, "final_communes"), folder, "final_communes")
     return final_counts(spark, folder, ("final_building_indicators", "final_block_indicators",
                                         "final_usr_indicators", "final_communes", "final_iris"))
 

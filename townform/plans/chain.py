@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +18,7 @@ from townform.plans.forest import classify_from_nodes
 from townform.plans.typology import classify_buildings, typo_buildings, typo_usr, typology_features
 from townform.plans.usr import usr_indicators
 from townform.sources import inputs as I
-from townform.session import cut_lineage
+from townform.session import Stages, cut_lineage
 from townform.sources.results import write_tables
 
 
@@ -48,19 +47,18 @@ class Results:
     usr_indicators: DataFrame
 
 
-def spill(df: DataFrame) -> DataFrame:
-    """Keep a table that several branches read; lost parts are recomputed."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def compute(inputs: Inputs, codes: I.Codes = None, p: Params = Params(),
-            keep: Callable[[DataFrame], DataFrame] = cut_lineage, require_usr: bool = True) -> Results:
+            keep: Callable[[DataFrame], DataFrame] = cut_lineage, require_usr: bool = True,
+            stage: Callable[[DataFrame], DataFrame] | None = None) -> Results:
     """Indicators of all communes in ``codes`` that have buildings.
 
-    ``keep`` is applied to the tables read more than once: prepared buildings, close pairs and
-    building and block indicators. Without ``require_usr`` buildings of no unit stay. They go to the shared checkpoint folder, so neither a lost
-    executor nor a long plan makes them be computed twice; pass ``spill`` to cache instead.
+    ``keep`` is applied to the prepared buildings, which stay dealt by the key of their joins, and ``stage``
+    (if given, otherwise ``keep``) to the other tables read more than once: close pairs, building and block
+    indicators, of which each reader needs a few columns. All go to the shared folder, so neither a lost
+    executor nor a long plan makes them be computed twice. Results of ``Stages`` are gone once it is left.
+    Without ``require_usr`` buildings of no unit stay.
     """
+    stage = stage or keep
     # partitioned once by the key of all later joins
     buildings = keep(I.prepare_buildings(inputs.bati, inputs.zones, codes, p, require_usr).repartition("id_zone", "pk"))
     catalogue = I.in_codes(I.scan_communes(inputs.zones), "code_insee", codes)
@@ -70,22 +68,29 @@ def compute(inputs: Inputs, codes: I.Codes = None, p: Params = Params(),
     # of several entries of a commune one with buildings gives the outline
     outline = I.commune_outline(inputs.zones.join(ready.select(F.col("id_zone").alias("ogc_fid")), "ogc_fid", "left_semi"), codes)
     iris = I.prepare_iris(inputs.iris, codes)
-    pairs = keep(close_pairs(buildings, p))
+    pairs = stage(close_pairs(buildings, p))
     members = B.block_members(buildings, pairs, p)
-    by_building = keep(building_indicators(buildings, roads, pairs, members, p))
-    by_block = keep(B.block_indicators(by_building, buildings, members, pairs, p))
+    by_building = stage(building_indicators(buildings, roads, pairs, members, p))
+    by_block = stage(B.block_indicators(by_building, buildings, members, pairs, p))
     by_usr = usr_indicators(usr, by_building, by_block, outline, iris, p)
     return Results(outline, I.skipped_communes(catalogue, buildings), usr, buildings, iris, pairs,
                    members, by_building, by_block, by_usr)
 
 
 def run_chain(inputs: Inputs, path: str, model: PipelineModel | DataFrame | None = None, codes: I.Codes = None,
-              p: Params = Params(), mode: str = "replace", require_usr: bool = True) -> Results:
-    """Compute everything and write the final tables below ``path``.
+              p: Params = Params(), mode: str = "replace", require_usr: bool = True) -> None:
+    """Compute everything and write the final tables below ``path``, all of them or none.
 
     Typologies are written when a trained model is given: a fitted pipeline, or a forest as a table of nodes.
+    Stages of the run are removed at its end.
     """
-    r = compute(inputs, codes, p, require_usr=require_usr)
+    with Stages(inputs.usr.sparkSession) as stage:
+        write_tables(final_tables(compute(inputs, codes, p, require_usr=require_usr, stage=stage), model, p, stage), path, mode, p)
+
+
+def final_tables(r: Results, model: PipelineModel | DataFrame | None = None, p: Params = Params(),
+                 stage: Callable[[DataFrame], DataFrame] = cut_lineage) -> dict[str, DataFrame]:
+    """The final tables of computed results by name, typologies among them if there is a model."""
     tables = {"final_building_indicators": r.building_indicators,
               "final_block_indicators": r.block_indicators,
               "final_block_outlines": block_outlines(r.buildings, r.members, r.pairs, p),
@@ -94,12 +99,11 @@ def run_chain(inputs: Inputs, path: str, model: PipelineModel | DataFrame | None
     if model is not None:
         features = typology_features(r.building_indicators, r.block_indicators, r.usr_indicators)
         if isinstance(model, DataFrame):
-            typed = classify_from_nodes(cut_lineage(features), model)
+            typed = classify_from_nodes(stage(features), model)
         else:
             typed = classify_buildings(model, features)
         # both tables read it: the forest runs once
-        typed = cut_lineage(typed.select("id_zone", "pk_usr", "pk_building", "i_floor", "u_floor", "typo"))
+        typed = stage(typed.select("id_zone", "pk_usr", "pk_building", "i_floor", "u_floor", "typo"))
         tables["final_building_typo"] = typo_buildings(r.buildings, typed)
         tables["final_usr_typo"] = typo_usr(r.usr, typed)
-    write_tables(tables, path, mode, p)  # all of them or none
-    return r
+    return tables
