@@ -29,11 +29,11 @@ from townform.plans import chain
 from townform.plans import typology as Y
 from townform.plans import usr as U
 from townform.plans.forest import classify_from_nodes
-from townform.schemas import BUILDING_COLUMNS, MEANING, TYPOLOGIES, USR_COLUMNS, typo_label
+from townform.schemas import BUILDING_COLUMNS, FINAL_TABLES, MEANING, TYPOLOGIES, USR_COLUMNS, typo_label
 from townform.session import checkpoint_dir, cut_lineage
 from townform.sources import computed as M
 from townform.sources import inputs as I
-from townform.sources.results import as_final, final_counts, read_final, write_final
+from townform.sources.results import final_counts, read_final, write_final, write_tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -183,20 +183,34 @@ def _(spark, sf_dir):
     return Y.with_labels(rule_typo(spark, sf_dir), typo_label(spark))
 
 
-@query("column_dictionary", "known", "", "column_name comment",
+# documented tables and the check's tables with the same columns; keys and outlines are never unknown
+DOCUMENTED = {"final_building_indicators": "bi", "final_block_indicators": "ki", "final_usr_indicators": "ui"}
+
+
+def _known(table: str, column: str) -> str:
+    return "*" if column == "the_geom" or column == FINAL_TABLES[table][0] else column
+
+
+@query("column_dictionary", "known", "", "table_name column_name comment",
        "(" + " UNION ALL ".join(
-           "SELECT '{}' AS column_name, '{}' AS comment, COUNT({}) AS known FROM f_usr".format(
-               c, MEANING["final_usr_indicators"][c].replace("'", "''"), c)
-           for c in O.USR_CARRIED) + ") d", "f_usr")
-def _(spark, sf_dir):
-    """Documented columns that the final units carry on, from their metadata, with known values of the prepared units."""
-    final = as_final(everything(spark, sf_dir).usr_indicators, "final_usr_indicators")
-    notes = {f.name: f.metadata["comment"] for f in final.schema.fields if f.name in O.USR_CARRIED}
-    usr = I.prepare_usr(city(spark, sf_dir).usr)
-    counts = usr.agg(*[F.count(c).alias(c) for c in notes])
-    return counts.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.lit(text).alias("comment"), F.col(c).alias("known"))
-        for c, text in notes.items()])))
+           "SELECT '{}' AS table_name, '{}' AS column_name, '{}' AS comment, COUNT({}) AS known FROM {}".format(
+               t, c, MEANING[t][c].replace("'", "''"), _known(t, c), DOCUMENTED[t])
+           for t in DOCUMENTED for c in FINAL_TABLES[t]) + ") d", "bi ki ui")
+def _(spark, sf_dir):
+    """All columns of the three tables of indicators with the comments stored in them, and how many values are known."""
+    r, folder = everything(spark, sf_dir), _result_folder(spark)
+    write_tables({"final_building_indicators": r.building_indicators, "final_block_indicators": r.block_indicators,
+                  "final_usr_indicators": r.usr_indicators}, folder)
+    rows = []
+    for table in DOCUMENTED:
+        notes = {f.name: f.metadata.get("comment") for f in spark.read.parquet(f"{folder}/{table}").schema}
+        final = read_final(spark, folder, table)
+        notes["id_zone"] = final.schema["id_zone"].metadata["comment"]  # names the folders, so no file has it
+        counts = final.agg(*[F.count(c).alias(c) for c in final.columns])
+        rows.append(counts.select(F.inline(F.array(*[
+            F.struct(F.lit(table).alias("table_name"), F.lit(c).alias("column_name"), F.lit(notes[c]).alias("comment"), F.col(c).alias("known"))
+            for c in final.columns]))))
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
 # --- building indicators ---------------------------------------------------------------

@@ -114,7 +114,8 @@ def read_final(spark: SparkSession, path: str, table: str) -> DataFrame:
     stored = spark.read.schema(declared.add("run", "string")).parquet(f"{path}/{table}")
     if len(runs) <= RUNS:
         stored = stored.where(F.col("run").isin(runs))
-    return stored.join(entries, ["run", "id_zone"], "left_semi").select(*FINAL_TABLES[table])
+    # columns that name folders lose their comment in a scan
+    return documented(stored.join(entries, ["run", "id_zone"], "left_semi").select(*FINAL_TABLES[table]), table)
 
 
 def drop_unpublished(spark: SparkSession, path: str, tables=tuple(FINAL_TABLES)) -> int:
