@@ -1,9 +1,9 @@
 """Connected components of an edge table, without ever gathering a group in one task.
 
-1. Each partition contracts its own edges to stars (a union-find per partition). Edges are
-   rebalanced by group, so small groups are finished by this step, while AQE splits the
-   partitions of a group that outgrows them.
-2. Vertices that received different roots in different partitions link those roots. The links
+1. Each partition contracts its own edges to stars, batch by batch: a bounded number of edges is
+   held, and stars that outgrow it are given out. Edges are rebalanced by group, so small groups are
+   finished by this step, while AQE splits the partitions of a group that outgrows them.
+2. Vertices that received different roots in different stars link those roots. The links
    are few; alternating star rounds on them run until nothing changes, each round cut by a
    checkpoint.
 """
@@ -11,7 +11,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +25,8 @@ from townform.session import cut_lineage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+MOST = 1 << 19  # edges that a task holds at once
+
 
 def _schema(edges: DataFrame, keys: Sequence[str], a: str) -> T.StructType:
     fields = {f.name: f.dataType for f in edges.schema.fields}
@@ -32,32 +34,56 @@ def _schema(edges: DataFrame, keys: Sequence[str], a: str) -> T.StructType:
                         + [T.StructField("node", fields[a]), T.StructField("root", fields[a])])
 
 
-def contract(edges: DataFrame, keys: Sequence[str], a: str, b: str) -> DataFrame:
-    """Per partition: every vertex with the least vertex it is linked to there."""
+def _stars(table: pa.Table, keys: list[str]) -> pa.Table:
+    """Every vertex of the edges (``a``, ``b``) with the least vertex it is linked to by them."""
+    ends = [table.select([*keys, end]).rename_columns([*keys, "node"]) for end in ("a", "b")]
+    both = pa.concat_tables(ends).combine_chunks()
+    # number vertices in (keys, node) order, so the least number is the least node
+    columns = [both[c].to_numpy() for c in [*keys, "node"]]
+    order = np.lexsort(columns[::-1])
+    new = np.zeros(len(order), dtype=bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[order][1:] != c[order][:-1]
+    number = np.empty(len(order), dtype=np.int64)
+    number[order] = np.cumsum(new) - 1
+    vertex = order[new]
+    n = table.num_rows
+    root = least_labels(number[:n], number[n:], len(vertex))
+    found = both.take(pa.array(vertex))
+    return found.append_column("root", found["node"].take(pa.array(root)))
+
+
+def contracted(batches: Iterable[pa.RecordBatch], keys: list[str], most: int = MOST) -> Iterator[pa.Table]:
+    """Stars of a stream of edges, with at most ``most`` edges (and one batch) in memory.
+
+    Whenever that many have gathered they are contracted. Stars of at most half as many rows take the place
+    of their edges; more are given out, and later edges begin anew. A vertex may then be given out again,
+    with another root: ``merge_stars`` links these, as it does those of different partitions.
+    """
+    held, rows = [], 0
+    for batch in batches:
+        held.append(pa.Table.from_batches([batch]).rename_columns([*keys, "a", "b"]))
+        rows += batch.num_rows
+        if rows < most:
+            continue
+        stars = _stars(pa.concat_tables(held), keys)
+        if 2 * stars.num_rows <= most:
+            held, rows = [stars.rename_columns([*keys, "a", "b"])], stars.num_rows
+        else:
+            held, rows = [], 0
+            yield stars
+    if rows:
+        yield _stars(pa.concat_tables(held), keys)
+
+
+def contract(edges: DataFrame, keys: Sequence[str], a: str, b: str, most: int = MOST) -> DataFrame:
+    """Per partition: every vertex with the least vertex it is linked to among the edges held at once."""
     keys = list(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [batch for batch in batches if batch.num_rows]
-        if not parts:
-            return
-        table = pa.Table.from_batches(parts)
-        ends = [table.select([*keys, end]).rename_columns([*keys, "node"]) for end in (a, b)]
-        both = pa.concat_tables(ends).combine_chunks()
-        # number vertices in (keys, node) order, so the least number is the least node
-        columns = [both[c].to_numpy() for c in [*keys, "node"]]
-        order = np.lexsort(columns[::-1])
-        new = np.zeros(len(order), dtype=bool)
-        new[:1] = True
-        for c in columns:
-            new[1:] |= c[order][1:] != c[order][:-1]
-        number = np.empty(len(order), dtype=np.int64)
-        number[order] = np.cumsum(new) - 1
-        vertex = order[new]
-        n = table.num_rows
-        root = least_labels(number[:n], number[n:], len(vertex))
-        found = both.take(pa.array(vertex))
-        found = found.append_column("root", found["node"].take(pa.array(root)))
-        yield from found.to_batches(max_chunksize=1 << 16)
+        for stars in contracted(batches, keys, most):
+            yield from stars.to_batches(max_chunksize=1 << 16)
 
     return edges.select(*keys, a, b).mapInArrow(run, _schema(edges, keys, a))
 
@@ -87,8 +113,8 @@ def merge_stars(stars: DataFrame, keys: Sequence[str]) -> DataFrame:
     roots = stars.groupBy(*keys, "node").agg(F.min("root").alias("first"),
                                              F.max("root").alias("last"))
     split = roots.where("first <> last").select(*keys, "node", "first")
-    if split.isEmpty():
-        return stars
+    if split.isEmpty():  # a vertex may still be met in several partitions
+        return roots.select(*keys, "node", F.col("first").alias("root"))
     links = (stars.join(split, [*keys, "node"]).where("root <> first")
              .select(*keys, F.col("root").alias("node"), F.col("first").alias("root")).distinct())
     links, seen = cut_lineage(links), None
