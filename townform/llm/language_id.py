@@ -4,9 +4,9 @@ For each language the suffix automaton of a sample of labelled text is built. A
 against it: a phrase is the longest piece that occurs in the sample, then the next phrase begins.
 The language that needs the fewest phrases per character wins; equal counts go to the smaller name.
 
-The sample is the fit: at most ``FIT_DOCS`` labelled documents per language, drawn by a hash of the
-identifier, and ``FIT_CHARS`` characters of their text together. It travels with the tasks; every
-worker builds the automata once. Every letter of the samples has its own symbol, in any script; the
+The sample is the fit: of each language at most ``FIT_DOCS`` labelled documents, drawn by a hash of
+identifier and text, and of each of these a passage, drawn anywhere in the text, of ``FIT_CHARS``
+characters shared among them. It travels with the tasks; every worker builds the automata once. Every letter of the samples has its own symbol, in any script; the
 transitions of all automata lie in one array, each state's row shifted to where its places are free
 (some 2 MB per language).
 
@@ -16,7 +16,7 @@ block, and all blocks of a batch move through all automata at once, one characte
 Letters are lower-cased; everything else is a blank. Letters that a sample lacks end a phrase.
 
 Cases: a null text or one without a letter is ``und`` with score 0. Null languages teach nothing;
-without any labelled text all is ``und``. Repeated documents are each judged. Empty tables give
+without any labelled text all is ``und``. Repeated documents are each judged; of the fit one stays. Empty tables give
 empty results; other columns do not matter. The score is the winner's share of ``exp(-phrases)``.
 """
 
@@ -28,7 +28,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 FIT_DOCS, FIT_CHARS, BLOCK, CHARS = 48, 24_000, 1024, 1 << 20
@@ -190,19 +190,23 @@ def _judge(samples: tuple[tuple[str, str], ...]):
 
 
 def fit(labelled: DataFrame, fit_docs: int = FIT_DOCS, fit_chars: int = FIT_CHARS) -> tuple[tuple[str, str], ...]:
-    """A bounded sample of text for each language. ``labelled``: id, text, lang."""
-    usable = labelled.where("lang IS NOT NULL AND text <> ''")
-    names = sorted(r["lang"] for r in usable.groupBy("lang").count().collect())
-    samples = []
-    for name in names:
-        own = usable.where(F.col("lang") == name)
-        ids = [r["id"] for r in own.select("id").orderBy(F.xxhash64("id"), "id").limit(fit_docs).collect()]
-        texts = own.where(F.col("id").isin(ids)).select("id", F.substring("text", 1, fit_chars).alias("text")).limit(2 * fit_docs).collect()
-        at = {i: k for k, i in enumerate(ids)}
-        each = max(1, fit_chars // max(1, len(texts)))
-        parts = [r["text"][:each] for r in sorted(texts, key=lambda r: (at[r["id"]], r["text"]))]
-        samples.append((name, " ".join(parts)[:fit_chars]))
-    return tuple(samples)
+    """A bounded sample of text for each language. ``labelled``: id, text, lang.
+
+    Reads the table twice: for the documents drawn of all languages, then for their passages.
+    """
+    rows = labelled.where("lang IS NOT NULL AND text <> ''").withColumn("print", F.xxhash64("id", "text"))
+    # the limit on the rank reaches below the exchange, so a task sends at most fit_docs rows of a language
+    least = Window.partitionBy("lang").orderBy("print")
+    drawn = rows.select("lang", "print").withColumn("rank", F.row_number().over(least)).where(F.col("rank") <= fit_docs).select("lang", "print").distinct()
+    drawn = drawn.select("lang", "print", F.floor(F.lit(fit_chars) / F.count("*").over(Window.partitionBy("lang"))).cast("int").alias("size"))
+    size = F.greatest("size", F.lit(1))
+    place = F.pmod(F.xxhash64("print"), F.greatest(F.length("text") - size + 1, F.lit(1)).cast("long")).cast("int") + 1
+    passages = (rows.join(F.broadcast(drawn), ["lang", "print"])  # at most fit_docs rows of a language are broadcast
+                .select("lang", "print", F.substring("text", place, size).alias("passage")).distinct())
+    samples: dict[str, list[str]] = {}
+    for r in sorted(passages.collect()):
+        samples.setdefault(r["lang"], []).append(r["passage"])
+    return tuple((name, " ".join(parts)) for name, parts in samples.items())
 
 
 def identify(docs: DataFrame, samples: tuple[tuple[str, str], ...], held_out: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
