@@ -285,6 +285,31 @@ def test_spellings_one_edit_away():
         b"moron": 2, b"morn": 1, b"moroon": 1, b"maron": 1, b"morons": 1, b"bad": 2, b"loweiung": 2}
 
 
+@pytest.mark.parametrize("keep", ["max", "min"])
+@pytest.mark.parametrize("rounds", [1, 2, 3])
+def test_runs_of_digests(spark, keep, rounds):
+    """Every round sorts and merges runs; a third of all rows are one text, others have none to few copies."""
+    rng = random.Random(rounds)
+    rows = [(k, "hot" if k % 3 == 0 else f"text {rng.randrange(900)}") for k in range(3000)] + [(None, "hot"), (None, "alone"), (7, None), (8, "")]
+    groups = {}
+    for k, t in rows:
+        groups.setdefault(t or "", []).append(k)
+    ends = {"max": max, "min": min}[keep]
+    want = {hashlib.sha256(t.encode()).hexdigest(): (ends([k for k in own if k is not None], default=None), len(own)) for t, own in groups.items()}
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(11)
+    merged = exact_dedup.merge_runs(exact_dedup.digest_rows(df), keep, rounds)
+    assert {bytes(r.sha).hex(): (r.keep_id, r.group_size) for r in merged.collect()} == want and merged.count() == len(want)
+    plan = merged._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    lines = [line for line in plan.splitlines() if line.strip(" :+-")]
+    assert sum("Window [" in line for line in lines) == rounds  # each on a run that lies sorted
+    assert sum("Sort [run" in line for line in lines) == rounds
+    assert sum("Exchange hashpartitioning(run" in line and "sha" not in line.split("),")[0] for line in lines) == rounds
+
+
+def test_rounds_follow_the_rows():
+    assert [exact_dedup.rounds_for(n) for n in (0, 64 << 18, (64 << 18) + 1, 512 << 18, 10 ** 11)] == [2, 2, 3, 3, 7]
+
+
 def test_long_quotations():
     import numpy as np
     auto = toxicity.machine([b"moron"], [])
