@@ -213,6 +213,21 @@ def test_contamination(spark, docs, rows, most):
     assert decontaminate.contamination(docs, bench.where("item_id > 99")).where("n_hit > 0").count() == 0
 
 
+def test_windows_of_items(spark):
+    items = [("a", "one two three four"), ("a", "One two three four"), ("b", "x"), (None, "two three four"), ("c", ""), ("d", None)]
+    found = decontaminate.windows(spark.createDataFrame(items, "item_id string, text string").repartition(3), window=3).collect()
+    assert sorted((r["size"], r["item"]) for r in found) == [(1, "b"), (3, "a"), (3, "a"), (3, "null")]
+    assert all(len(r["prints"]) == 8 * r["size"] for r in found)
+    assert len({bytes(r["prints"]) for r in found}) == 3  # two items share one
+
+
+def test_passes_are_staged(spark, docs):
+    """Only the last lot of windows is part of the plan that is left."""
+    bench = spark.createDataFrame([(k, f"alpha{k} beta{k} gamma{k}") for k in range(4)], "item_id long, text string")
+    plan = decontaminate.contamination(docs, bench, most=30)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Relation" in plan
+
+
 def test_warc_round_trip(spark):
     same = "<p>" + "a" * 1500
     pages = [(1, "http://a.com/x y", same), (2, "http://b.com/", same), (3, None, None), (4, "http://c.com", "é" * 10), (5, "u", "é" * 10),

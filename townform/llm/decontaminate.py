@@ -13,8 +13,10 @@ window. Windows of one length form a set of patterns with its own tables:
 Texts are searched many at once: each has its own position, and all move by their own shifts. Long
 texts are cut into stretches that overlap by one window less a word, so they move in parallel too.
 
-The patterns travel with the tasks. ``PATTERN_BYTES`` bounds what travels: a larger benchmark is
-searched in several passes of whole items, one behind the other, and each row adds up what they find.
+Windows are cut in tasks, and each window of an item is kept once. The patterns travel with the
+tasks; ``PATTERN_BYTES`` bounds what the driver holds and what travels at once: more windows are
+searched in several passes, and each row adds up what they find. A pass lies in the shared folder
+before the next one's windows are sent.
 
 Cases: null texts have no words; items without words have no window. Repeated items and windows
 count once by identifier; an item without identifier is named ``null``. Repeated documents are
@@ -32,13 +34,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from townform.llm.tables import columns, fresh
+from townform.llm.tables import columns, fresh, staged
 from townform.llm.words import ALNUM, split_words, text_slices
 
 WINDOW = 13
 PATTERN_BYTES = 8 << 20
 STRETCH = 2048
 TABLE_BITS = 16
+ROWS = 1 << 16  # windows in one batch
 TYPES = (LongType(), ArrayType(IntegerType()), ArrayType(StringType()))
 
 
@@ -97,17 +100,45 @@ class Patterns:
         return np.concatenate(where or none), np.concatenate(which or none)
 
 
-def build(texts: list[str | None], names: list[str], window: int = WINDOW) -> list[Patterns]:
-    """Search tables of the given items, one for each length of window."""
-    by_length: dict[int, dict[tuple[int, ...], set[str]]] = defaultdict(lambda: defaultdict(set))
-    for begin, buf, offsets in text_slices(pa.array(texts, pa.string())):
-        words = split_words(buf, offsets, ALNUM)
-        for k in range(len(offsets) - 1):
-            own = words.prints[words.first[k]:words.first[k + 1]].tolist()
-            size = min(window, len(own))
-            for i in range(len(own) - size + 1 if own else 0):
-                by_length[size][tuple(own[i:i + size])].add(names[begin + k])
-    return [Patterns(w, n) for n, w in sorted(by_length.items())]
+def _cut(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The windows of items (name, text): number of words, their prints, the item's name."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin, buf, offsets in text_slices(batch.column(1)):
+                words = split_words(buf, offsets, ALNUM)
+                names, counts = batch.column(0).slice(begin, len(offsets) - 1), np.diff(words.first)
+                for size in np.unique(np.minimum(counts[counts > 0], window)).tolist():
+                    own = np.flatnonzero(np.minimum(counts, window) == size)
+                    many = counts[own] - size + 1
+                    item = np.repeat(own, many)
+                    start = words.first[item] + np.arange(len(item)) - np.repeat(np.cumsum(many) - many, many)
+                    for k in range(0, len(item), ROWS):
+                        rows = words.prints[start[k:k + ROWS, None] + np.arange(size)].astype("<u8")
+                        prints = pa.array([row.tobytes() for row in rows], pa.binary())
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), size, np.int32)), prints, names.take(pa.array(item[k:k + ROWS]))],
+                                                         ["size", "prints", "item"])
+    return run
+
+
+def windows(benchmark: DataFrame, item: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
+    """size, prints, item: every window of every item once."""
+    named = benchmark.select(F.coalesce(F.col(item).cast("string"), F.lit("null")).alias("item"), F.col(text).alias("text"))
+    return named.mapInArrow(_cut(window), "size int, prints binary, item string").distinct()
+
+
+def _lots(rows: DataFrame, most: int) -> Iterator[list[Patterns]]:
+    """Search tables, one for each length of window, of lots of windows with at most ``most`` bytes."""
+    lot: dict[int, dict[tuple[int, ...], set[str]]] = defaultdict(lambda: defaultdict(set))
+    held = 0
+    for size, prints, name in rows.toLocalIterator(prefetchPartitions=False):
+        if held and held + len(prints) + len(name) > most:
+            yield [Patterns(w, n) for n, w in sorted(lot.items())]
+            lot.clear()
+            held = 0
+        lot[size][tuple(np.frombuffer(prints, "<u8").tolist())].add(name)
+        held += len(prints) + len(name)
+    if held:
+        yield [Patterns(w, n) for n, w in sorted(lot.items())]
 
 
 def search(tables: list[Patterns], buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], list[set[str]]]:
@@ -145,31 +176,20 @@ def _searcher(tables: list[Patterns], text: int, carried: list[str]) -> Callable
     return run
 
 
-def _passes(items: DataFrame, most: int) -> Iterator[tuple[list[str | None], list[str]]]:
-    """Items in lots of at most ``most`` bytes of text (one item may be longer)."""
-    texts, names, size = [], [], 0
-    for name, text in items.toLocalIterator(prefetchPartitions=False):
-        if texts and size + len(text or "") > most:
-            yield texts, names
-            texts, names, size = [], [], 0
-        texts.append(text)
-        names.append("null" if name is None else str(name))
-        size += len(text or "")
-    if texts:
-        yield texts, names
-
-
 def searched(rows: DataFrame, benchmark: DataFrame, text: str, names: tuple[str, str, str], item: str = "item_id",
              item_text: str = "text", window: int = WINDOW, most: int = PATTERN_BYTES) -> DataFrame:
     """``rows`` with three more columns: number of words, places of hit words, items with occurring windows."""
     carried = rows.toDF(*(f"c{k}" for k in range(len(rows.columns))))  # mapInArrow takes no names with dots
     place, plain, out = rows.columns.index(text), carried.columns, None
-    for lot in _passes(benchmark.select(F.col(item), F.col(item_text)), most):
-        source = carried if out is None else out
+    lots = _lots(windows(benchmark, item, item_text, window), most)
+    lot = next(lots, None)
+    while lot is not None:
+        source = carried if out is None else staged(out, "searched")
         fields = StructType([*source.schema, *(StructField(f"new{k}", t) for k, t in enumerate(TYPES))])
-        new = source.mapInArrow(_searcher(build(*lot, window), place, source.columns), fields)
+        new = source.mapInArrow(_searcher(lot, place, source.columns), fields)
         found = [F.col("new0")] + [F.col(f"new{k}") if out is None else F.array_union(f"found{k}", f"new{k}") for k in (1, 2)]
         out = new.select(*plain, *(f.alias(f"found{k}") for k, f in enumerate(found)))
+        lot = next(lots, None)
     if out is None:
         fields = StructType([*carried.schema, *(StructField(f"found{k}", t) for k, t in enumerate(TYPES))])
         out = carried.mapInArrow(_searcher([], place, plain), fields)
