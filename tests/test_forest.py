@@ -60,6 +60,32 @@ def test_walks_and_votes(spark, broadcast):
     assert len(got) == 60
 
 
+@pytest.mark.parametrize("most, block", [(T.NODES, T.ROWS), (200, 7), (40, T.ROWS), (0, T.ROWS)])
+def test_shares_of_trees_and_blocks_of_rows(spark, most, block):
+    """Whatever the shares and blocks, and by levels for trees that no share takes; repeated keys add up, as one row's votes."""
+    rng = random.Random(8)
+    rows = grown(rng, 40, 4)
+    nodes = spark.createDataFrame(rng.sample(rows, len(rows)), NODES)
+    table = features(spark, 150).withColumn("i_area", F.when(F.col("pk_building") == 5, F.lit(float("nan"))).otherwise(F.col("i_area")))
+    twice = table.unionByName(table.where("pk_building < 20"))
+    by = {(r[0], r[1]): r for r in rows}
+    wanted = Counter()
+    for r in twice.collect():
+        for tree in range(40):
+            node = by[tree, 3]
+            while node[2]:
+                node = by[tree, node[4] if r[node[2]] <= node[3] else node[5]]
+            wanted[r.pk_building, node[6]] += 1
+    got = {(r.pk_building, r["class"]): r.votes for r in T.votes(twice, nodes, most=most, block=block).collect()}
+    assert got == dict(wanted)
+
+
+def test_row_and_tree_pairs_never_become_rows(spark):
+    nodes = spark.createDataFrame(grown(random.Random(3), 60, 3), NODES)
+    plan = T.votes(features(spark, 50), nodes)._jdf.queryExecution().optimizedPlan().toString()
+    assert "CoGroup" in plan and plan.count("Generate explode") == 2  # rows by shares, shares by blocks
+
+
 def test_ties_go_by_name_and_equal_values_go_left(spark):
     nodes = spark.createDataFrame([(0, 1, "i_h", 5.0, 2, 3, None), (0, 2, None, None, None, None, "pd"), (0, 3, None, None, None, None, "ba"),
                                    (1, 1, None, None, None, None, "id")], NODES)
