@@ -76,3 +76,16 @@ def test_tables_of_a_run_can_be_empty(spark, tmp_path):
     S.write_tables({BLOCK: blocks(spark, [4])}, path, "append")
     S.write_tables({BLOCK: blocks(spark, [4, 5])}, path, "append")
     assert zones_of(spark, path, BLOCK) == [4, 4, 5] and zones_of(spark, path, COMMUNE) == [1]
+
+
+def test_zones_share_files_and_are_replaced_one_by_one(spark, tmp_path):
+    path, many = str(tmp_path), 4 * S.PARTS
+    S.write_final(blocks(spark, range(many)), path, BLOCK)
+    assert len(list((tmp_path / BLOCK).rglob("*.parquet"))) <= S.PARTS
+    S.write_final(blocks(spark, [1, S.PARTS + 1, many], area=7.0), path, BLOCK)  # two of one folder, and a new zone
+    assert zones_of(spark, path, BLOCK) == list(range(many + 1))
+    assert sorted(r.id_zone for r in S.read_final(spark, path, BLOCK).where("area = 7").collect()) == [1, S.PARTS + 1, many]
+    assert S.drop_unpublished(spark, path) == 0  # other zones of these folders count
+    S.write_final(blocks(spark, range(1, many, S.PARTS), area=3.0), path, BLOCK)
+    # the first run's folder 1 and the second's
+    assert S.drop_unpublished(spark, path) == 2 and zones_of(spark, path, BLOCK) == list(range(many + 1))

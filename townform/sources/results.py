@@ -1,6 +1,7 @@
 """Result tables as Parquet, typed, and published together.
 
-A run writes its tables below folders of its own, ``table/run=<run>/id_zone=<zone>``. Nobody sees them until
+A run writes its tables below folders of its own, ``table/run=<run>/part=<zone modulo PARTS>``, sorted by zone, so
+that tens of thousands of zones do not make as many files. Nobody sees them until
 the run adds one file to ``manifest``: the next version of the list of all (table, zone, run) that count.
 Readers take the last version and only the folders it lists, so a run that ends between two tables leaves
 everything as it was, and a reader never sees tables of different runs. One run at a time may write.
@@ -23,6 +24,7 @@ from townform.session import delete_folder
 
 MANIFEST = "version long, table_name string, id_zone long, run string"
 MODES = ("replace", "append", "recreate")
+PARTS = 256  # folders that the zones of a run share
 RUNS = 1000  # named in a scan's filter; more are only joined
 
 
@@ -69,8 +71,8 @@ def write_tables(tables: Mapping[str, DataFrame], path: str, mode: str = "replac
     """Write the zones present in the tables below ``path`` and publish all at once.
 
     ``replace`` puts them in the place of those zones only, so a repeated run changes nothing; ``append``
-    adds rows; ``recreate`` starts the tables anew. Rows are rebalanced by zone: small zones get one file,
-    a huge zone several. Names, types and reference systems of all tables are checked before the first is
+    adds rows; ``recreate`` starts the tables anew. Rows are rebalanced by folder: the small zones of a folder
+    share a file, a huge zone gets several. Names, types and reference systems of all tables are checked before the first is
     written, the systems of single rows while they are.
     """
     if mode not in MODES:
@@ -83,7 +85,8 @@ def write_tables(tables: Mapping[str, DataFrame], path: str, mode: str = "replac
     new = []
     for name, rows in finals.items():
         folder = f"{path}/{name}/run={run}"
-        rows.hint("rebalance", "id_zone").write.partitionBy("id_zone").parquet(folder)
+        (rows.withColumn("part", F.pmod("id_zone", F.lit(PARTS)).cast("int")).hint("rebalance", "part")
+         .sortWithinPartitions("part", "id_zone").write.partitionBy("part").parquet(folder))
         zones = spark.read.schema(rows.schema).parquet(folder).select("id_zone").distinct()
         new.append(zones.select(F.lit(name).alias("table_name"), "id_zone", F.lit(run).alias("run")))
     entries = new[0]
@@ -121,18 +124,20 @@ def read_final(spark: SparkSession, path: str, table: str) -> DataFrame:
 def drop_unpublished(spark: SparkSession, path: str, tables=tuple(FINAL_TABLES)) -> int:
     """Delete what the last version does not list: zones put out of place and runs that never ended. Gives the number of folders.
 
+    A folder goes with the last of its zones; until then rows of zones put out of place stay in it, unread.
     No run may be writing, and no reader may still use an older version.
     """
     _, entries = _manifest(spark, path)
     gone = 0
     for table in tables:
         try:
-            stored = spark.read.schema("run string, id_zone long").parquet(f"{path}/{table}").select("run", "id_zone").distinct()
+            stored = spark.read.schema("id_zone long, run string, part int").parquet(f"{path}/{table}").distinct()
         except AnalysisException:
             continue
-        kept = entries.where(F.col("table_name") == table).select("run", "id_zone")
-        for r in stored.join(kept, ["run", "id_zone"], "left_anti").toLocalIterator():
-            gone += delete_folder(spark, f"{path}/{table}/run={r['run']}/id_zone={r['id_zone']}")
+        kept = entries.where(F.col("table_name") == table).select("run", "id_zone", F.lit(1).alias("listed"))
+        folders = stored.join(kept, ["run", "id_zone"], "left").groupBy("run", "part").agg(F.count("listed").alias("listed"))
+        for r in folders.where("listed = 0").toLocalIterator():
+            gone += delete_folder(spark, f"{path}/{table}/run={r['run']}/part={r['part']}")
     return gone
 
 
