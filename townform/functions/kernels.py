@@ -15,7 +15,17 @@ from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-COMBINATIONS = 1 << 19  # segment pairs held in memory at once
+COMBINATIONS = 1 << 16  # segment pairs held in memory at once
+SLICE = 1024  # rows of a batch that a kernel works on at once
+
+
+def sliced(kernel, rows=SLICE):
+    """The kernel over slices of its batch, so that what it holds does not grow with the batch."""
+    def run(*columns):
+        parts = [kernel(*(c.slice(first, rows) for c in columns)) for first in range(0, max(len(columns[0]), 1), rows)]
+        return parts[0] if len(parts) == 1 else pa.concat_arrays(parts)
+
+    return run
 
 
 # --- ragged arrays ----------------------------------------------------------------

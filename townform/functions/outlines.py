@@ -10,7 +10,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from townform.functions.kernels import along, centred, first_points, free_pieces, list_sizes, next_segments, segments, starts
+from townform.functions.kernels import along, centred, first_points, free_pieces, list_sizes, next_segments, segments, sliced, starts
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -86,7 +86,6 @@ def chains(geom: Column, spans: Column, walls: bool = False) -> Column:
     """Free outline of a building as chains, cut where the covered ``spans`` begin and end; with their ``walls`` on request."""
     kind = f"array<struct<{CHAIN}{', walls: ' + WALLS if walls else ''}>>"
 
-    @F.arrow_udf(kind)
     def measure(rings: pa.Array, spans: pa.Array) -> pa.Array:
         seg, offs = segments(rings)
         span = spans.flatten()
@@ -101,4 +100,8 @@ def chains(geom: Column, spans: Column, walls: bool = False) -> Column:
             names.append("walls")
         return pa.ListArray.from_arrays(pa.array(starts(counts).astype(np.int32)), pa.StructArray.from_arrays(fields, names))
 
-    return measure(geom["rings"], spans)
+    @F.arrow_udf(kind)
+    def run(rings: pa.Array, spans: pa.Array) -> pa.Array:
+        return sliced(measure)(rings, spans)
+
+    return run(geom["rings"], spans)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from townform.functions.kernels import (
     common_areas, covered_walls, hull_measures, list_sizes, lit_areas, common_borders, polygon_gaps,
-    segments, starts)
+    segments, sliced, starts)
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -37,18 +37,20 @@ def hulls_of(x, y, offs) -> pa.Array:
 def hull(geom: Column) -> Column:
     """Convex hull measures of a polygon: area, perimeter, least width, azimuth."""
 
-    @F.arrow_udf(HULL)
     def measure(rings: pa.Array) -> pa.Array:
         seg, offs = segments(rings)
         return hulls_of(seg[0], seg[1], offs)
 
-    return measure(geom["rings"])
+    @F.arrow_udf(HULL)
+    def run(rings: pa.Array) -> pa.Array:
+        return sliced(measure)(rings)
+
+    return run(geom["rings"])
 
 
 def polygon_gap(a: Column, b: Column, tol: float) -> Column:
     """Distance of two polygons and the wall length they share (walls closer than ``tol``)."""
 
-    @F.arrow_udf(GAP)
     def measure(rings_a: pa.Array, rings_b: pa.Array) -> pa.Array:
         seg_a, off_a = segments(rings_a)
         seg_b, off_b = segments(rings_b)
@@ -56,7 +58,11 @@ def polygon_gap(a: Column, b: Column, tol: float) -> Column:
         dist, shared = polygon_gaps(seg_a, off_a, row, seg_b, off_b, row, tol)
         return _struct({"dist": dist, "shared": shared})
 
-    return measure(a["rings"], b["rings"])
+    @F.arrow_udf(GAP)
+    def run(rings_a: pa.Array, rings_b: pa.Array) -> pa.Array:
+        return sliced(measure)(rings_a, rings_b)
+
+    return run(a["rings"], b["rings"])
 
 
 def covered_spans(a: Column, b: Column, tol: float, contacts: bool = False) -> Column:
@@ -66,7 +72,6 @@ def covered_spans(a: Column, b: Column, tol: float, contacts: bool = False) -> C
     ``contacts`` single points of contact are listed too, as intervals of no length.
     """
 
-    @F.arrow_udf(SPANS)
     def measure(rings_a: pa.Array, rings_b: pa.Array) -> pa.Array:
         seg_a, off_a = segments(rings_a)
         seg_b, off_b = segments(rings_b)
@@ -76,13 +81,16 @@ def covered_spans(a: Column, b: Column, tol: float, contacts: bool = False) -> C
         offsets = starts(np.bincount(pair, minlength=len(rings_a))).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), spans)
 
-    return measure(a["rings"], b["rings"])
+    @F.arrow_udf(SPANS)
+    def run(rings_a: pa.Array, rings_b: pa.Array) -> pa.Array:
+        return sliced(measure)(rings_a, rings_b)
+
+    return run(a["rings"], b["rings"])
 
 
 def lit_floor_area(geom: Column, spans: Column, depth: float) -> Column:
     """Footprint area within ``depth`` of the walls left free by the covered ``spans``."""
 
-    @F.arrow_udf("double")
     def measure(rings: pa.Array, spans: pa.Array) -> pa.Array:
         seg, offs = segments(rings)
         span = spans.flatten()
@@ -90,7 +98,11 @@ def lit_floor_area(geom: Column, spans: Column, depth: float) -> Column:
         wall = wall + np.repeat(offs[:-1], list_sizes(spans))
         return pa.array(lit_areas(seg, offs, wall, t0, t1, depth), pa.float64())
 
-    return measure(geom["rings"], spans)
+    @F.arrow_udf("double")
+    def run(rings: pa.Array, spans: pa.Array) -> pa.Array:
+        return sliced(measure)(rings, spans)
+
+    return run(geom["rings"], spans)
 
 
 def overlap_area(a: Column, b: Column, grow: float = 0.0, tol: float = 1e-6) -> Column:
@@ -100,7 +112,6 @@ def overlap_area(a: Column, b: Column, grow: float = 0.0, tol: float = 1e-6) ->
     share a strip of twice that width.
     """
 
-    @F.arrow_udf("double")
     def measure(rings_a: pa.Array, rings_b: pa.Array) -> pa.Array:
         seg_a, off_a = segments(rings_a)
         seg_b, off_b = segments(rings_b)
@@ -110,4 +121,8 @@ def overlap_area(a: Column, b: Column, grow: float = 0.0, tol: float = 1e-6) ->
         unknown = pc.or_(rings_a.is_null(), rings_b.is_null()).to_numpy(zero_copy_only=False)
         return pa.array(area, pa.float64(), mask=unknown)
 
-    return measure(a["rings"], b["rings"])
+    @F.arrow_udf("double")
+    def run(rings_a: pa.Array, rings_b: pa.Array) -> pa.Array:
+        return sliced(measure)(rings_a, rings_b)
+
+    return run(a["rings"], b["rings"])

@@ -1,8 +1,9 @@
 """Connected components of an edge table, without ever gathering a group in one task.
 
 1. Each partition contracts its own edges to stars, batch by batch: a bounded number of edges is
-   held, and stars that outgrow it are given out. Edges are rebalanced by group, so small groups are
-   finished by this step, while AQE splits the partitions of a group that outgrows them.
+   held, and stars that outgrow it are given out. Edges are rebalanced by group and sorted by it, so small
+   groups are finished by this step, all but those in which a batch ends, while AQE splits the partitions
+   of a group that outgrows them.
 2. Vertices that received different roots in different stars link those roots. The links
    are few; alternating star rounds on them run until nothing changes, each round cut by a
    checkpoint.
@@ -25,7 +26,7 @@ from townform.session import cut_lineage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-MOST = 1 << 19  # edges that a task holds at once
+MOST = 1 << 17  # edges that a task holds at once
 
 
 def _schema(edges: DataFrame, keys: Sequence[str], a: str) -> T.StructType:
@@ -130,5 +131,5 @@ def components(edges: DataFrame, keys: Sequence[str], a: str, b: str) -> DataFra
 
     Components never leave a group of equal ``keys``.
     """
-    stars = cut_lineage(contract(edges.hint("rebalance", *keys), keys, a, b))
+    stars = cut_lineage(contract(edges.hint("rebalance", *keys).sortWithinPartitions(*keys), keys, a, b))
     return merge_stars(stars, keys)

@@ -16,7 +16,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from townform.functions.kernels import list_sizes, polygon_gaps, segments, spread, starts
+from townform.functions.kernels import list_sizes, polygon_gaps, segments, sliced, spread, starts
 from townform.functions.scalar import or_zero
 from townform.params import Params
 
@@ -24,7 +24,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 PARTIAL = ("array<struct<pk: bigint, n: bigint, total: double, squares: double, least: double, "
            "greatest: double>>")
-PAIRS = 1 << 20  # building pairs held in memory at once
+PAIRS = 1 << 16  # building pairs held in memory at once
+UNITS = 64  # pairs of tiles worked on at once
 
 
 def _tiles(buildings: DataFrame, p: Params) -> DataFrame:
@@ -82,7 +83,6 @@ def pair_statistics(seg, offs, size, tile):
 
 
 def _partials(members: Column) -> Column:
-    @F.arrow_udf(PARTIAL)
     def measure(members: pa.Array) -> pa.Array:
         size = list_sizes(members)
         member = members.flatten()
@@ -94,7 +94,11 @@ def _partials(members: Column) -> Column:
             ["pk", "n", "total", "squares", "least", "greatest"])
         return pa.ListArray.from_arrays(pa.array(starts(size).astype(np.int32)), rows)
 
-    return measure(members)
+    @F.arrow_udf(PARTIAL)
+    def run(members: pa.Array) -> pa.Array:
+        return sliced(measure, UNITS)(members)
+
+    return run(members)
 
 
 def building_distances(buildings: DataFrame, p: Params = Params()) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from townform.functions import geometry as G
-from townform.functions.kernels import convex_hulls, list_sizes, starts
+from townform.functions.kernels import convex_hulls, list_sizes, sliced, starts
 from townform.functions.scalar import TWO_THIRDS, or_zero, ratio
 from townform.functions.shapes import HULL, hulls_of
 from townform.operators.components import components
@@ -24,6 +24,7 @@ BLOCK = ["id_zone", "pk_usr", "pk_block"]
 KEY = ["id_zone", "pk_block"]  # unique, and never NULL where buildings have no unit
 POINTS = "array<struct<x: double, y: double>>"
 HULL_SHARE = 1024  # buildings whose vertices are gathered at once
+HULLS = 64  # of these shares, worked on at once
 
 
 def block_edges(pairs: DataFrame, p: Params = Params()) -> DataFrame:
@@ -84,22 +85,28 @@ def point_arrays(points: pa.Array):
 
 
 def hull_points(points: Column) -> Column:
-    @F.arrow_udf(POINTS)
     def reduce(points: pa.Array) -> pa.Array:
         x, y, offs = point_arrays(points)
         at, hull = convex_hulls(x, y, offs)
         kept = pa.StructArray.from_arrays([pa.array(x[at]), pa.array(y[at])], ["x", "y"])
         return pa.ListArray.from_arrays(pa.array(hull.astype("int32")), kept)
 
-    return reduce(points)
+    @F.arrow_udf(POINTS)
+    def run(points: pa.Array) -> pa.Array:
+        return sliced(reduce, HULLS)(points)
+
+    return run(points)
 
 
 def hull_of_points(points: Column) -> Column:
-    @F.arrow_udf(HULL)
     def measure(points: pa.Array) -> pa.Array:
         return hulls_of(*point_arrays(points))
 
-    return measure(points)
+    @F.arrow_udf(HULL)
+    def run(points: pa.Array) -> pa.Array:
+        return sliced(measure, HULLS)(points)
+
+    return run(points)
 
 
 def block_main_dir(buildings: DataFrame, members: DataFrame, p: Params = Params()) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from townform.functions.scalar import ratio
 from townform.params import Params
 from townform.schemas import TYPO_BUILDING_COLUMNS, TYPO_USR_COLUMNS, TYPOLOGIES
+from townform.session import cut_lineage
 
 # Predictor names a trained model expects, by source column.
 BUILDING_FEATURES = {
@@ -85,7 +86,8 @@ def train_typology(labelled: DataFrame, p: Params = Params(), trees: int = 100,
         RandomForestClassifier(labelCol="typo_index", featuresCol="predictors", numTrees=trees,
                                maxDepth=depth, seed=p.forest_seed),
     ])
-    model = pipeline.fit(_complete(labelled))
+    # fitting passes over its rows several times
+    model = pipeline.fit(cut_lineage(_complete(labelled).select("typo", *FEATURES)))
     names = IndexToString(inputCol="prediction", outputCol="typo", labels=model.stages[0].labels)
     return PipelineModel(stages=[*model.stages[1:], names])
 
