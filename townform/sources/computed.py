@@ -56,7 +56,7 @@ def import_blocks(computed: DataFrame, usr_computed: DataFrame, zones: Zones) ->
 
 
 def import_block_outlines(computed: DataFrame, zones: Zones) -> DataFrame:
-    """Walls of the blocks of the zones; a list of zones reaches the partitions of the stored table."""
+    """Walls of the blocks of the zones; a list of zones reaches the scan of the stored table, whose files are sorted by zone."""
     return of_zones(computed, listed(zones)).select(*OUTLINE_COLUMNS)
 
 
