@@ -10,6 +10,7 @@ from townform.functions import kernels as K
 from townform.functions import shapes as H
 from townform.operators import distances as D
 from townform.plans import typology as Y
+from townform.session import cut_lineage
 
 
 def _peak(run):
@@ -73,7 +74,7 @@ def test_fitting_reads_its_rows_once(spark):
         met.add(1)
         return "ba" if k % 2 else "pd"
 
-    rows = spark.range(200).select(F.udf(label)("id").alias("typo"), *[((F.col("id") * (k + 3)) % 11).cast("double").alias(c)
-                                                                         for k, c in enumerate(Y.FEATURES)])
+    rows = cut_lineage(spark.range(200).select("id", *[((F.col("id") * (k + 3)) % 11).cast("double").alias(c) for k, c in enumerate(Y.FEATURES)]))
+    rows = rows.withColumn("typo", F.udf(label)("id"))
     Y.train_typology(rows, trees=3, depth=2)
     assert met.value == 200
