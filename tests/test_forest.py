@@ -1,5 +1,6 @@
 """Forests as node tables: walks against a loop, refusals, ties, and a forest that Spark trained and saved."""
 
+import math
 import random
 from collections import Counter
 
@@ -86,6 +87,26 @@ def test_row_and_tree_pairs_never_become_rows(spark):
     assert "CoGroup" in plan and plan.count("Generate explode") == 2  # rows by shares, shares by blocks
 
 
+@pytest.mark.parametrize("share, together", [(60, 2), (60, 1000)])
+def test_shares_are_taken_together(spark, monkeypatch, share, together):
+    """Rows are copied for every turn of shares, not for every share."""
+    monkeypatch.setattr(T, "SHARE", share)
+    monkeypatch.setattr(T, "TOGETHER", together)
+    rows = grown(random.Random(5), 30, 4)
+    table, nodes = features(spark, 80), spark.createDataFrame(rows, NODES)
+    found = T.votes(table, nodes)
+    turns = math.ceil(math.ceil(len(rows) / share) / together)
+    assert f"cast({turns - 1} as bigint)" in found._jdf.queryExecution().logical().toString()
+    by, wanted = {(r[0], r[1]): r for r in rows}, Counter()
+    for r in table.collect():
+        for tree in range(30):
+            node = by[tree, 3]
+            while node[2]:
+                node = by[tree, node[4] if r[node[2]] <= node[3] else node[5]]
+            wanted[r.pk_building, node[6]] += 1
+    assert {(r.pk_building, r["class"]): r.votes for r in found.collect()} == dict(wanted)
+
+
 def test_ties_go_by_name_and_equal_values_go_left(spark):
     nodes = spark.createDataFrame([(0, 1, "i_h", 5.0, 2, 3, None), (0, 2, None, None, None, None, "pd"), (0, 3, None, None, None, None, "ba"),
                                    (1, 1, None, None, None, None, "id")], NODES)

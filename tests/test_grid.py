@@ -49,6 +49,13 @@ def test_a_wide_site_among_houses_costs_few_rows(spark):
     assert {(r.a, r.b) for r in got.select("a", "b").collect()} == {p for p in wanted(rows, rows) if p[0] < p[1]}
 
 
+def test_a_box_is_not_listed_where_no_other_meets_it(spark):
+    houses = boxes(spark, [(k, (30.0 * k + 1, 1.0, 30.0 * k + 11, 11.0)) for k in range(40)], "a")
+    assert by_cell(houses, "box_a", 25.0, [0], [2]).where("cell_level <> 2").isEmpty()
+    wide = boxes(spark, [(1, (5.0, 5.0, 95.0, 9.0))], "b")
+    assert sorted(r.a for r in grid_join(houses, wide, "box_a", "box_b", 25.0).collect()) == [0, 1, 2, 3]
+
+
 def test_boxes_of_one_level_are_listed_as_before(spark):
     df = boxes(spark, [(1, (0.0, 0.0, 30.0, 10.0))], "a")
     assert by_cell(df, "box_a", 25.0).count() == 2

@@ -1,5 +1,6 @@
 """Outlines of blocks: chains against a walk, list ranking against a loop, rings of hand-made blocks."""
 
+import math
 import random
 
 import numpy as np
@@ -10,6 +11,7 @@ from shapes_in_town import box, town, turned
 from townform.functions.outlines import ranked
 from townform.operators import neighbours as N
 from townform.operators import outlines as L
+from townform.operators.courtyards import chain_links
 from townform.plans import blocks as B
 from townform.sources.computed import import_block_outlines
 
@@ -101,3 +103,16 @@ def test_chains_beside_a_circle_get_their_own_places(spark):
 def test_import_of_zones(spark):
     table = outlines(spark, [box(0, 0, 10, 10), box(50, 0, 60, 10)], zone=[1, 2])
     assert [r.id_zone for r in import_block_outlines(table, [2]).select("id_zone").distinct().collect()] == [2]
+
+
+def test_chains_are_linked_once_across_cells(spark):
+    """Corners on and near borders of the cells: each end is listed once, and finds the same begins as by comparing all."""
+    spots = [(x + dx, y + dy) for x in (0.0, 1.0) for y in (0.0, 0.5) for dx in (0.0, -0.014, 0.014) for dy in (0.0, 0.016)]
+    rows = [(0, 1, 1, k, *spots[k], *spots[(k * 5 + 3) % len(spots)], 1.0, 0.0, 0.0, 1.0) for k in range(len(spots))]
+    chains = spark.createDataFrame(rows, "id_zone long, pk_usr long, pk_block long, chain_id long, sx double, sy double, ex double, ey double, "
+                                         "sdx double, sdy double, edx double, edy double")
+    links = chain_links(chains)
+    assert links._jdf.queryExecution().optimizedPlan().toString().count("Generate explode") == 2
+    near = {r[3]: min((math.hypot(r[6] - s[4], r[7] - s[5]), s[3]) for s in rows if abs(r[6] - s[4]) <= 0.03 and abs(r[7] - s[5]) <= 0.03)[1] for r in rows}
+    got = links.collect()
+    assert len(got) == len(rows) and {r.chain_id: r.next_id for r in got} == near

@@ -69,3 +69,12 @@ def test_ratios_and_far_buildings(spark):
 def test_inner_walls_do_not_count(spark):
     df = town(spark, [[box(0, 0, 30, 30), box(10, 10, 20, 20)]])
     assert by_pk(R.walls_near_roads(df, roads(spark, (2.0, line((15, 11), (15, 19))))), "l_3m") == {}
+
+
+def test_pieces_with_their_reach_fit_into_four_cells(spark):
+    """So that long roads are of one level, and walls are listed for that one."""
+    p = Params()
+    pieces = R.road_segments(roads(spark, (2.0, line((0, 0), (640, 0))), (5.0, line((0, 0), (0, 90))), (40.0, line((0, 0), (300, 0)))), p)
+    size = F.greatest(F.col("road_box.xmax") - F.col("road_box.xmin"), F.col("road_box.ymax") - F.col("road_box.ymin"))
+    assert pieces.where("radius < 10").where(size > 4 * p.road_cell).isEmpty()
+    assert pieces.where("radius > 40").count() == 300 / 25 and pieces.agg(F.sum(F.hypot("ex", "ey"))).first()[0] == pytest.approx(1030)

@@ -44,3 +44,13 @@ def test_buildings_of_no_unit_stay_on_request(spark, tmp_path):
     chain.run_chain(city(spark, SF), str(tmp_path), require_usr=False)
     rows = read_final(spark, str(tmp_path), "final_building_indicators")
     assert rows.count() > 200 and rows.where("pk_usr is null").count() == rows.count() - 200
+
+
+def test_units_and_members_are_kept(spark):
+    """What the joins derive about boxes of units stays off the rows of the source; members are not found again by each reader."""
+    with Stages(spark) as stage:
+        r = chain.compute(city(spark, SF), stage=stage)
+        for kept in (r.usr, r.members):
+            plan = kept._jdf.queryExecution().optimizedPlan().toString()
+            assert "Join" not in plan and "Aggregate" not in plan and "p_partkey" not in plan
+        assert r.usr.count() == 10 and r.members.count() == 200

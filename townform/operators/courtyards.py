@@ -18,7 +18,7 @@ from townform.functions import geometry as G
 from townform.functions.scalar import ratio
 from townform.functions.outlines import chains
 from townform.operators.components import components
-from townform.operators.grid import grid_join
+from townform.operators.grid import by_cell
 from townform.operators.neighbours import SPAN, both_ways
 from townform.params import Params
 from townform.session import cut_lineage
@@ -71,11 +71,13 @@ def chain_links(open_chains: DataFrame, p: Params = Params()) -> DataFrame:
     the outside lies clockwise; the first chain met that way bounds the same outside.
     """
     reach = 3 * p.block_buffer
+    # an end lies in one cell, a begin is listed in all that its reach covers, so a pair meets once
     ends = open_chains.select(*BLOCK, "chain_id", "ex", "ey", "edx", "edy",
-                              _spot("ex", "ey", reach / 2).alias("end_box"))
-    begins = open_chains.select(*KEY, F.col("chain_id").alias("next_id"), "sx", "sy", "sdx", "sdy",
-                                _spot("sx", "sy", reach / 2).alias("start_box"))
-    met = grid_join(ends, begins, "end_box", "start_box", NODE_CELL, KEY, levels=([0], [0]))
+                              *[F.floor(F.col(v) / NODE_CELL).alias(c) for v, c in (("ex", "cell_x"), ("ey", "cell_y"))])
+    begins = by_cell(open_chains.select(*KEY, F.col("chain_id").alias("next_id"), "sx", "sy", "sdx", "sdy",
+                                        _spot("sx", "sy", reach + p.snap).alias("spot")), "spot", NODE_CELL).drop("spot", "cell_level")
+    met = ends.join(begins, [*KEY, "cell_x", "cell_y"]).where(
+        G.boxes_meet(_spot("ex", "ey", reach / 2), _spot("sx", "sy", reach / 2)))
     turning = _turning("edx", "edy", "sdx", "sdy")
     # clockwise angle from the reversed arrival; turning straight back comes last
     opening = F.pmod(F.lit(math.pi) - turning, F.lit(2 * math.pi))

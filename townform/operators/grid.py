@@ -3,7 +3,8 @@
 A join on four inequalities would run as a nested loop. Every box is therefore listed under the grid cells
 it covers and the sides meet on equal cells. Cells of level k are ``size * 2 ** k`` wide. A box belongs to
 the first level whose cells are at least as wide as it is, so it covers four cells there at most, however
-large it is. It is also listed at the coarser levels that boxes of the other side belong to, and a pair
+large it is. It is listed there if the other side has boxes of that level or a finer one, and at
+the coarser levels that boxes of the other side belong to, as a pair
 meets at the coarser of its two levels: one wide site among many houses costs each house a few rows, not
 the site thousands of cells. A pair sharing several cells is kept only in the cell of the lower-left corner
 of the boxes' overlap, so no ``distinct`` is needed. Rows spread over cells, not over zones, so a zone
@@ -52,7 +53,7 @@ def by_cell(df: DataFrame, box: str, size: float, own: Levels = (0,), other: Lev
         level = _level(b, size)
         listed = F.array(*[F.lit(k) for k in sorted({*own, *other})])
         df = df.withColumn("cell_level", F.explode(F.filter(
-            listed, lambda k: (k == level) | ((k > level) & k.isin(list(other))))))
+            listed, lambda k: ((k == level) & (k >= min(other))) | ((k > level) & k.isin(list(other))))))
     width = _width(F.col("cell_level"), size)
     return (df
             .withColumn("cell_x", F.explode(F.sequence(_cell(b["xmin"], width), _cell(b["xmax"], width))))

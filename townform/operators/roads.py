@@ -18,11 +18,13 @@ def road_segments(roads: DataFrame, p: Params = Params()) -> DataFrame:
     """Segments of the roads with their reach: full width plus margin.
 
     Long segments are cut, so that none covers many grid cells; the reach of a road is the
-    union of the reaches of its pieces.
+    union of the reaches of its pieces. A piece with its reach fits into four cells, so that most pieces
+    are of one level of the grid and a wall is listed for that one alone.
     """
     seg = F.col("seg")
     size = F.hypot(seg["x2"] - seg["x1"], seg["y2"] - seg["y1"])
-    pieces = F.greatest(F.ceil(size / (4 * p.road_cell)), F.lit(1).cast("long"))
+    most = F.greatest(4 * p.road_cell - 2 * F.col("radius"), F.lit(p.road_cell))
+    pieces = F.greatest(F.ceil(size / most), F.lit(1).cast("long"))
     whole = (roads.where(F.col("largeur").isNotNull())
              .select("id_zone", (F.col("largeur") + p.road_margin).alias("radius"),
                      F.explode(G.segments(F.col("the_geom"))).alias("seg"))

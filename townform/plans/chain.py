@@ -53,8 +53,8 @@ def compute(inputs: Inputs, codes: I.Codes = None, p: Params = Params(),
     """Indicators of all communes in ``codes`` that have buildings.
 
     ``keep`` is applied to the prepared buildings, which stay dealt by the key of their joins, and ``stage``
-    (if given, otherwise ``keep``) to the other tables read more than once: close pairs, building and block
-    indicators, of which each reader needs a few columns. All go to the shared folder, so neither a lost
+    (if given, otherwise ``keep``) to the other tables read more than once: units, close pairs, members of blocks,
+    building and block indicators, of which each reader needs a few columns. All go to the shared folder, so neither a lost
     executor nor a long plan makes them be computed twice. Results of ``Stages`` are gone once it is left.
     Without ``require_usr`` buildings of no unit stay.
     """
@@ -63,13 +63,14 @@ def compute(inputs: Inputs, codes: I.Codes = None, p: Params = Params(),
     buildings = keep(I.prepare_buildings(inputs.bati, inputs.zones, codes, p, require_usr).repartition("id_zone", "pk"))
     catalogue = I.in_codes(I.scan_communes(inputs.zones), "code_insee", codes)
     ready = I.processable_communes(catalogue, buildings)
-    usr = I.prepare_usr(inputs.usr, codes).join(ready.select("id_zone"), "id_zone", "left_semi")
+    # kept, or the tests of the boxes that the joins derive would reach the source and run on every row of it
+    usr = stage(I.prepare_usr(inputs.usr, codes).join(ready.select("id_zone"), "id_zone", "left_semi"))
     roads = I.prepare_roads(inputs.roads, inputs.zones, codes)
     # of several entries of a commune one with buildings gives the outline
     outline = I.commune_outline(inputs.zones.join(ready.select(F.col("id_zone").alias("ogc_fid")), "ogc_fid", "left_semi"), codes)
     iris = I.prepare_iris(inputs.iris, codes)
     pairs = stage(close_pairs(buildings, p))
-    members = B.block_members(buildings, pairs, p)
+    members = stage(B.block_members(buildings, pairs, p))
     by_building = stage(building_indicators(buildings, roads, pairs, members, p))
     by_block = stage(B.block_indicators(by_building, buildings, members, pairs, p))
     by_usr = usr_indicators(usr, by_building, by_block, outline, iris, p)

@@ -4,9 +4,10 @@
 sends a row to ``left`` where the variable is at most ``split``, otherwise to ``right``; a node without
 variable is a leaf and names a class. This is the table that the usual packages list for a tree.
 
-Every row meets every tree, but no such pair becomes a row. Trees are dealt into shares of about ``NODES``
-nodes, rows into blocks of at most about ``ROWS``; a task takes one share and one block and returns one row
-of counts for each row of the block. Counts of the shares are then added up.
+Every row meets every tree, but no such pair becomes a row. Trees are dealt into shares of about ``SHARE``
+nodes, rows into blocks of at most about ``ROWS``; a task takes one block and up to ``TOGETHER`` shares, one
+after the other, and returns one row of counts for each row of the block. So rows are copied once for every
+``SHARE * TOGETHER`` nodes, not for every share, and shares travel compressed. The counts are then added up.
 A tree of more than ``NODES`` nodes is walked level by level: the rows of a level are joined with its nodes
 by (tree, node). A level is broadcast while it has at most ``BROADCAST`` nodes; wider ones join by an
 exchange, where their many nodes spread the rows.
@@ -16,6 +17,7 @@ Every tree votes for a class; the most votes win, of equal ones the first class
 from __future__ import annotations
 
 import sys
+import zlib
 from functools import reduce
 
 import numpy as np
@@ -34,7 +36,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 NODE_COLUMNS = {"tree": "int", "node": "long", "variable": "string", "split": "double", "left": "long", "right": "long", "class": "string"}
 BROADCAST = 200_000
 ROWS = 1 << 18   # of a block
-NODES = 1 << 20  # of a share of trees
+NODES = 1 << 20  # of the largest tree that a share takes
+SHARE = 1 << 17  # nodes of a share, if no tree has more
+TOGETHER = 32    # shares that a task takes
 KEY = ["id_zone", "pk_building"]
 
 
@@ -97,21 +101,22 @@ def _polled(rows: DataFrame, nodes: DataFrame, size: int, most: int, block: int)
     classes, places = list(met[0]), list(met[1])
     # predictors that no tree asks for stay behind
     rows = cut_lineage(rows.select(*KEY, *[F.element_at("x", F.lit(k)).alias(f"x{k}") for k in places]))
-    shares = -(-size // most)
-    blocks = max(1, -(-rows.count() // block), -(-4 * rows.sparkSession.sparkContext.defaultParallelism // shares))
-    unit = (F.col("share") * blocks + F.col("block")).alias("unit")
+    shares = -(-size // min(most, SHARE))
+    turns = -(-shares // TOGETHER)
+    blocks = max(1, -(-rows.count() // block), -(-2 * rows.sparkSession.sparkContext.defaultParallelism // turns))
+    unit = (F.col("turn") * blocks + F.col("block")).alias("unit")
     asked = nodes.withColumn("place", sum((F.when(F.col("place") == k, at).otherwise(0) for at, k in enumerate(places)), F.lit(0))
                              + F.when(F.col("place").isNull(), -1).otherwise(0))
 
     def pack(key: tuple, table: pa.Table) -> pa.Table:
-        return pa.table({"share": pa.array([key[0].as_py()], pa.int64()), "trees": pa.array([packed(table, classes)], pa.binary())})
+        return pa.table({"share": pa.array([key[0].as_py()], pa.int64()), "trees": pa.array([zlib.compress(packed(table, classes))], pa.binary())})
 
-    # trees are packed once; their bytes go to every block, the rows of a block to every share
+    # trees are packed once; their bytes go to every block, the rows of a block to every turn of shares
     held = (asked.withColumn("share", F.pmod(F.xxhash64("tree"), F.lit(shares))).groupBy("share")
-            .applyInArrow(pack, "share long, trees binary")
+            .applyInArrow(pack, "share long, trees binary").withColumn("turn", F.col("share") % turns)
             .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))).select(unit, "trees"))
     dealt = (rows.withColumn("block", F.monotonically_increasing_id() % blocks)
-             .withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shares - 1).cast("long"))))
+             .withColumn("turn", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(turns - 1).cast("long"))))
              .select(unit, *rows.columns))
     names = [f"v{k}" for k in range(len(classes))]
     schema = T.StructType([rows.schema[c] for c in KEY] + [T.StructField(v, T.IntegerType()) for v in names])
@@ -121,7 +126,7 @@ def _polled(rows: DataFrame, nodes: DataFrame, size: int, most: int, block: int)
         if not table.num_rows or not trees.num_rows:
             return pa.table([*(c.slice(0, 0) for c in keys.columns), *(pa.array([], pa.int32()) for _ in names)], [*KEY, *names])
         x = np.stack([table[f"x{k}"].to_numpy() for k in places]) if places else np.empty((0, table.num_rows))
-        counts = ballots(np.frombuffer(trees["trees"][0].as_buffer(), dtype=NODE), x, len(classes))
+        counts = sum(ballots(np.frombuffer(zlib.decompress(share.as_buffer()), dtype=NODE), x, len(classes)) for share in trees["trees"])
         return pa.table([*keys.columns, *(pa.array(c) for c in counts)], [*KEY, *names])
 
     counts = dealt.groupBy("unit").cogroup(held.groupBy("unit")).applyInArrow(poll, schema)
