@@ -30,7 +30,7 @@ from townform.plans import typology as Y
 from townform.plans import usr as U
 from townform.plans.forest import classify_from_nodes
 from townform.schemas import BUILDING_COLUMNS, FINAL_TABLES, MEANING, TYPOLOGIES, USR_COLUMNS, typo_label
-from townform.session import checkpoint_dir, cut_lineage
+from townform.session import Stages, checkpoint_dir, cut_lineage
 from townform.sources import computed as M
 from townform.sources import inputs as I
 from townform.sources.results import final_counts, read_final, write_final, write_tables
@@ -198,9 +198,11 @@ def _known(table: str, column: str) -> str:
            for t in DOCUMENTED for c in FINAL_TABLES[t]) + ") d", "bi ki ui")
 def _(spark, sf_dir):
     """All columns of the three tables of indicators with the comments stored in them, and how many values are known."""
-    r, folder = everything(spark, sf_dir), _result_folder(spark)
-    write_tables({"final_building_indicators": r.building_indicators, "final_block_indicators": r.block_indicators,
-                  "final_usr_indicators": r.usr_indicators}, folder)
+    folder = _result_folder(spark)
+    with Stages(spark) as stage:
+        r = chain.compute(city(spark, sf_dir), stage=stage)
+        write_tables({"final_building_indicators": r.building_indicators, "final_block_indicators": r.block_indicators,
+                      "final_usr_indicators": r.usr_indicators}, folder)
     rows = []
     for table in DOCUMENTED:
         notes = {f.name: f.metadata.get("comment") for f in spark.read.parquet(f"{folder}/{table}").schema}

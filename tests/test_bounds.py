@@ -57,6 +57,17 @@ def test_slices_give_the_rows_of_the_batch():
     assert K.sliced(lambda c: c)(lists.slice(0, 0)).type == lists.type
 
 
+def test_slices_go_on_over_short_lists():
+    met = []
+
+    def kernel(c):
+        met.append((len(c), len(c.flatten())))
+        return c
+    lists = pa.array([[1.0]] * 900 + [[1.0] * 40] * 30 + [None] * 5, pa.list_(pa.float64()))
+    assert K.sliced(kernel, 10, 200)(lists).equals(lists) and sum(n for n, _ in met) == 935
+    assert all(n <= 10 or size <= 200 for n, size in met) and len(met) <= 10 and max(n for n, _ in met) == 200
+
+
 def test_kernels_on_slices(spark):
     """Batches of more rows than a slice, null outlines among them."""
     pts = F.array(*[F.struct((F.col("id") * 2 + x).cast("double").alias("x"), F.lit(float(y)).alias("y"))

@@ -19,10 +19,20 @@ COMBINATIONS = 1 << 16  # segment pairs held in memory at once
 SLICE = 1024  # rows of a batch that a kernel works on at once
 
 
-def sliced(kernel, rows=SLICE):
-    """The kernel over slices of its batch, so that what it holds does not grow with the batch."""
+def sliced(kernel, rows=SLICE, members=0):
+    """The kernel over slices of its batch, so that what it holds does not grow with the batch.
+
+    A slice goes on beyond ``rows`` as long as the lists of the first column have at most ``members`` members together.
+    """
     def run(*columns):
-        parts = [kernel(*(c.slice(first, rows) for c in columns)) for first in range(0, max(len(columns[0]), 1), rows)]
+        n, firsts, first = len(columns[0]), [], 0
+        before = starts(list_sizes(columns[0])) if members else None
+        while first < n or not firsts:
+            firsts.append(first)
+            first += rows
+            if members:
+                first = max(first, int(np.searchsorted(before, before[firsts[-1]] + members, "right")) - 1)
+        parts = [kernel(*(c.slice(at, end - at) for c in columns)) for at, end in zip(firsts, [*firsts[1:], n])]
         return parts[0] if len(parts) == 1 else pa.concat_arrays(parts)
 
     return run

@@ -25,7 +25,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 PARTIAL = ("array<struct<pk: bigint, n: bigint, total: double, squares: double, least: double, "
            "greatest: double>>")
 PAIRS = 1 << 16  # building pairs held in memory at once
-UNITS = 64  # pairs of tiles worked on at once
+UNITS = 64  # pairs of tiles worked on at once, more where they have few buildings
+MEMBERS = 1 << 12
 
 
 def _tiles(buildings: DataFrame, p: Params) -> DataFrame:
@@ -96,7 +97,7 @@ def _partials(members: Column) -> Column:
 
     @F.arrow_udf(PARTIAL)
     def run(members: pa.Array) -> pa.Array:
-        return sliced(measure, UNITS)(members)
+        return sliced(measure, UNITS, MEMBERS)(members)
 
     return run(members)
 

@@ -24,7 +24,8 @@ BLOCK = ["id_zone", "pk_usr", "pk_block"]
 KEY = ["id_zone", "pk_block"]  # unique, and never NULL where buildings have no unit
 POINTS = "array<struct<x: double, y: double>>"
 HULL_SHARE = 1024  # buildings whose vertices are gathered at once
-HULLS = 64  # of these shares, worked on at once
+HULLS = 64  # of these shares, worked on at once, more where they have few vertices
+VERTICES = 1 << 14
 
 
 def block_edges(pairs: DataFrame, p: Params = Params()) -> DataFrame:
@@ -93,7 +94,7 @@ def hull_points(points: Column) -> Column:
 
     @F.arrow_udf(POINTS)
     def run(points: pa.Array) -> pa.Array:
-        return sliced(reduce, HULLS)(points)
+        return sliced(reduce, HULLS, VERTICES)(points)
 
     return run(points)
 
@@ -104,7 +105,7 @@ def hull_of_points(points: Column) -> Column:
 
     @F.arrow_udf(HULL)
     def run(points: pa.Array) -> pa.Array:
-        return sliced(measure, HULLS)(points)
+        return sliced(measure, HULLS, VERTICES)(points)
 
     return run(points)
 
