@@ -3,14 +3,17 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
+from pathlib import Path
+from urllib.parse import urlparse
 
 import pytest
 from pyspark.sql import functions as F
 
-from townform.llm import (chat, decontaminate, exact_dedup, language_id, mixing, ngram_jaccard, repeats, toxicity, url_filters, warc)
+from townform.llm import (chat, decontaminate, exact_dedup, language_id, mixing, ngram_jaccard, repeats, tables, toxicity, url_filters, warc)
 
 WORDS = [f"w{i}" for i in range(400)]
 
@@ -72,6 +75,100 @@ def test_jaccard_components(docs, rows, n, num):
     assert Counter(stay) == Counter(i for i, _ in sets if i is None or find(i) == i)
 
 
+def test_large_families_ship_each_row_once_a_turn(spark, monkeypatch, tmp_path):
+    rng = random.Random(11)
+    base = prose(rng, 200).split()
+    texts = []
+    for i in range(120):  # near copies, one family
+        words = list(base)
+        words[rng.randrange(200)] = f"own{i}"
+        texts.append(" ".join(words))
+    ends = [[f"own{i}x{k}" for k in range(400)] for i in range(60)]
+    passages = [prose(rng, 60) for _ in range(20)]
+    texts += [" ".join([*own, *rng.sample(passages, 4)]) for own in ends]  # do not link, but parts agree
+    texts += [" ".join([*ends[i][2:], texts[120 + i][-900:]]) for i in range(6)]
+    texts += [" ".join(f"few{i // 2}y{k}" for k in range(30 + 3 * (i % 2))) for i in range(10)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    sets = [grams(t, 5) for t in texts]
+    root = list(range(len(texts)))
+    for i, j in combinations(range(len(texts)), 2):
+        if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) and root[i] != root[j]:
+            low, high = sorted((root[i], root[j]))
+            root = [low if r == high else r for r in root]
+    product, stage, names = ngram_jaccard._product, ngram_jaccard.staged, []
+
+    def counted(num, den, **how):
+        run, log = product(num, den, **how), tmp_path / f"bits {bool(how)}"
+        log.mkdir()
+
+        def counting(batches):
+            def passed():
+                for batch in batches:
+                    (log / f"{random.SystemRandom().random()}").write_text(str(batch.num_rows))
+                    yield batch
+            yield from run(passed())
+        return counting
+
+    monkeypatch.setattr(ngram_jaccard, "_product", counted)
+    monkeypatch.setattr(ngram_jaccard, "staged", lambda df, name: names.append(name) or stage(df, name))
+    monkeypatch.setattr(ngram_jaccard, "BLOCK_ROWS", 24)
+    monkeypatch.setattr(ngram_jaccard, "TURN_BYTES", 0, raising=False)
+    got = ngram_jaccard.linked_groups(docs, 5, 80, 100).collect()
+    assert {r.doc_id: r.component_id for r in got} == dict(enumerate(root))
+    assert sum(int(f.read_text()) for f in (tmp_path / "bits False").iterdir()) <= 5 * 120 + 12 + 10  # blocks times rows
+    assert names.count("links") == 4 + 5  # a turn ships what all rows take once; of the bits the last two of 5 fit one
+
+
+def test_turns_ship_all_pairs_within_bounds():
+    room = {1: 500, 3: 90, 7: 400}
+    parts = ngram_jaccard.turns(room, 990)
+    assert [low for low, _ in parts] == [0, *(high for _, high in parts[:-1])] and parts[-1][1] == 7
+    for low, high in parts:
+        assert high == low + 1 or sum(size for t in range(low, high) for blocks, size in room.items() if blocks > t) <= 990
+    assert ngram_jaccard.turns({1: 500}, 500) == [(0, 1)] and ngram_jaccard.turns({2: 5}, 5) == [(0, 1), (1, 2)]
+
+
+def test_parities_never_rule_out_a_link():
+    import numpy as np
+    rng = np.random.default_rng(4)
+    for num in (80, 90):
+        sets = []
+        for size in (1, 5, 60, 64, 65, 128, 130, 700, 2000):
+            one = rng.integers(0, 1 << 62, size, dtype=np.uint64)
+            for share in (0, 0.05, 0.1, 0.12, 0.3):
+                gone = int(size * share)
+                for more in (0, gone):
+                    sets.append(np.unique(np.concatenate([one[gone:], rng.integers(0, 1 << 62, more, dtype=np.uint64)])))
+        sizes = np.array([len(s) for s in sets])
+        bits = ngram_jaccard.parities(np.concatenate(sets), np.concatenate([[0], np.cumsum(sizes)]))
+        nodes, none = np.arange(len(sets)), np.zeros(len(sets), int)
+        got = ngram_jaccard.near(nodes, none, sizes, bits, num, 100)
+        linked = ngram_jaccard.forest(nodes, none, sets, num, 100)
+        root = list(nodes)
+        for a, b in got:
+            root = [min(root[a], root[b]) if r in (root[a], root[b]) else r for r in root]
+        assert all(root[a] == root[b] for a, b in linked) and len(linked) > 20
+        assert len(set(root)) >= 8  # sets of other texts stay apart
+
+
+def test_stages_remove_their_exchanges(spark):
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size())}
+
+    before = files()
+    assert len(tables.staged(spark.range(1000).repartition(5, "id"), "any").collect()) == 1000
+    for _ in range(50):
+        if not (left := {f for f in files() - before if f.startswith("shuffle_") and f.endswith(".data")}):
+            break
+        time.sleep(0.2)
+    assert not left and spark.conf.get(tables.CLEANUP) == "false"
+    with tables.passing(spark.range(10), "any") as some:
+        path = Path(urlparse(some.inputFiles()[0]).path).parent
+        assert len(some.collect()) == 10 and path.exists()
+    assert not path.exists()
+
+
 def test_repeated_strings(docs, rows):
     texts = [(t or "").encode() for _, t, _ in rows]
     seen = Counter(t[s:s + 200] for t in texts for s in range(len(t) - 199))

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from townform.session import checkpoint_dir
+from townform.session import checkpoint_dir, delete_folder
 
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -23,22 +24,33 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def _written(df: DataFrame, path: str, **options: str) -> DataFrame:
+    spark = df.sparkSession
+    before = spark.conf.get(CLEANUP, "false")  # without a default of ours an unset one would read as None
+    spark.conf.set(CLEANUP, "true")  # the exchanges behind the table are not read again
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and go on from there. ``options`` are the writer's.
 
     The lineage ends at the written table, so a lost executor recomputes nothing before it.
     """
-    spark = df.sparkSession
-    path = shared_folder(spark, name)
-    before = spark.conf.get(CLEANUP, None)
-    if before is not None:
-        spark.conf.set(CLEANUP, "true")  # the exchanges behind the table are not read again
+    return _written(df, shared_folder(df.sparkSession, name), **options)
+
+
+@contextmanager
+def passing(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """As ``staged``, for the time of the block: then the folder goes, also after a failure."""
+    path = shared_folder(df.sparkSession, name)
     try:
-        df.write.options(**options).parquet(path)
+        yield _written(df, path)
     finally:
-        if before is not None:
-            spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+        delete_folder(df.sparkSession, path)
 
 
 def fresh(name: str, taken: Sequence[str]) -> str:
